@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from workload import queries_oee
+from workload import queries_oee, queries_tables
 
-ALL = {**queries_oee.QUERIES}
+ALL = {**queries_oee.QUERIES, **queries_tables.QUERIES}
