@@ -54,8 +54,9 @@ def difference(df, con, sql) -> str | None:
     got = spark_rows(df)
     if got == want:
         return None
-    only = [r for r in got if r not in set(want)][:3] if len(got) < 200_000 else []
-    other = [r for r in want if r not in set(got)][:3] if len(want) < 200_000 else []
+    have, expected = set(got), set(want)
+    only = [r for r in got if r not in expected][:3]
+    other = [r for r in want if r not in have][:3]
     return f"rows {len(got)} vs {len(want)}\n  columns {sorted(names)}\n  spark {only}\n  sql   {other}"
 
 

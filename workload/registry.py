@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from workload import queries_oee, queries_tables
+from workload import queries_improvements, queries_landing, queries_oee, queries_tables
 
-ALL = {**queries_oee.QUERIES, **queries_tables.QUERIES}
+ALL = {**queries_oee.QUERIES, **queries_tables.QUERIES, **queries_improvements.QUERIES, **queries_landing.QUERIES}
