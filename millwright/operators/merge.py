@@ -67,11 +67,14 @@ def merge_into(
     shared = [c for c in target.columns if c in source.columns and c not in keys and c != audit]
     compared = list(compare) if compare is not None else shared
 
-    s = unique_keys(source, keys).select(
-        *[F.col(k).cast(types[k]).alias(k) for k in keys],
-        *[F.col(c).cast(types[c]).alias(f"_s_{c}") for c in shared],
-        F.lit(True).alias("_in_source"),
-    )
+    # Cast before the key check, so the join can reuse its partitioning and order.
+    s = unique_keys(
+        source.select(
+            *[F.col(k).cast(types[k]).alias(k) for k in keys],
+            *[F.col(c).cast(types[c]).alias(f"_s_{c}") for c in shared],
+        ),
+        keys,
+    ).withColumn("_in_source", F.lit(True))
     t = target.withColumn("_in_target", F.lit(True))
     both = t.join(s, keys, "full_outer")
 

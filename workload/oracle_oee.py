@@ -136,7 +136,7 @@ def hms(s: str) -> str:
     return f"printf('%02d:%02d:%02d', {m} // 3600, {m} % 3600 // 60, {m} % 60)"
 
 
-def oee_sql(name: str, run_key: str, fact_key: str, stop_key: str, key_type: str = "VARCHAR") -> str:
+def oee_sql(name: str, run_key: str, fact_key: str, stop_key: str, key_type: str = "VARCHAR", month: bool = False) -> str:
     shift_key = "data_turno, num_turno, id_setor"
     extra = useful("oee") | losses(fact_key, stop_key) | {
         "per_shift": f"""
@@ -153,6 +153,16 @@ def oee_sql(name: str, run_key: str, fact_key: str, stop_key: str, key_type: str
         "calc": """
             SELECT *, 1.0::DOUBLE - CAST(stopped AS DOUBLE) / u - CAST(perf AS DOUBLE) / u - CAST(qual AS DOUBLE) / u AS oee FROM parts""",
     }
+    if month:
+        extra["parts"] = """
+            SELECT id_estabelecimento, k, CAST(date_trunc('month', data) AS DATE) AS data, CAST(sum(u) AS BIGINT) AS u, sum(stopped) AS stopped,
+                   sum(perf) AS perf, sum(qual) AS qual
+            FROM (SELECT id_estabelecimento, k, data, u, 0 AS stopped, 0 AS perf, 0 AS qual FROM tu
+                  UNION ALL SELECT id_estabelecimento, k, data, 0, tempo_disp + tempo_setup, 0, 0 FROM disp
+                  UNION ALL SELECT id_estabelecimento, k, data, 0, 0, v, 0 FROM perf
+                  UNION ALL SELECT id_estabelecimento, k, data, 0, 0, ganho + perda, 0 FROM bal
+                  UNION ALL SELECT id_estabelecimento, k, data, 0, 0, 0, v FROM qual)
+            GROUP BY ALL HAVING sum(u) > 0"""
     good = "CAST(trunc(u * oee) AS BIGINT)"
     return with_roles(
         f"""
@@ -169,6 +179,8 @@ OEE = oee_sql("cod_produto", "cod_produto", "q.numero_produto", "s.numero_produt
 OEE_MACHINE = oee_sql("maquina_id", "maquina_id", "q.maquina_id", "s.maquina_id", "BIGINT")
 OEE_SECTOR = oee_sql("id_setor", "id_setor", "m.id_setor", "s.id_setor", "INTEGER")
 
+OEE_FACTORY_MONTH = oee_sql("id_fabrica", "id_fabrica", "m.id_fabrica", "s.id_fabrica", "INTEGER", month=True)
+
 STOP_SECONDS = with_roles(
     """
 SELECT id_estabelecimento, k AS cod_produto, data, CAST(tempo_disp AS BIGINT) AS tempo_disp, CAST(tempo_setup AS BIGINT) AS tempo_setup
@@ -285,3 +297,27 @@ FROM quality q JOIN mach m USING (id_estabelecimento, maquina_id) JOIN reasons r
 WHERE r.peso_oee = 'Com Peso' AND {prod_day("q.data_hora")} BETWEEN {DAY0} AND {DAY1} GROUP BY ALL""",
     mach=MACH,
 )
+
+def _inner(sql: str) -> str:
+    """The detail query as a subquery; its own CTEs stay local."""
+    return f"({sql})"
+
+
+OEE_MEASURES = f"""
+WITH s AS {_inner(STOP_DETAIL)}, c AS {_inner(CYCLE_DETAIL)}, p AS {_inner(PERFORMANCE_DETAIL)}, q AS {_inner(QUALITY_DETAIL)}, u AS {_inner(USEFUL_DETAIL)},
+k AS (SELECT cod_estabelecimento, cod_maquina FROM s UNION SELECT cod_estabelecimento, cod_maquina FROM c UNION SELECT cod_estabelecimento, cod_maquina FROM p
+      UNION SELECT cod_estabelecimento, cod_maquina FROM q UNION SELECT cod_estabelecimento, cod_maquina FROM u),
+m AS (
+  SELECT k.*, coalesce((SELECT sum(tempo_util) FROM u WHERE u.cod_estabelecimento = k.cod_estabelecimento AND u.cod_maquina = k.cod_maquina), 0) AS util,
+    (SELECT sum(tempo_parada) FROM s WHERE s.cod_estabelecimento = k.cod_estabelecimento AND s.cod_maquina = k.cod_maquina AND des_familia IS DISTINCT FROM 'Setup') AS disp,
+    (SELECT sum(tempo_parada) FROM s WHERE s.cod_estabelecimento = k.cod_estabelecimento AND s.cod_maquina = k.cod_maquina AND des_familia = 'Setup') AS setup,
+    coalesce((SELECT sum(soma_ganho_ciclo + soma_perda_ciclo) FROM c WHERE c.cod_estabelecimento = k.cod_estabelecimento AND c.cod_maquina = k.cod_maquina), 0)
+      + coalesce((SELECT sum(tempo_perda) FROM p WHERE p.cod_estabelecimento = k.cod_estabelecimento AND p.cod_maquina = k.cod_maquina), 0) AS perf,
+    (SELECT sum(tempo_apontamento) FROM q WHERE q.cod_estabelecimento = k.cod_estabelecimento AND q.cod_maquina = k.cod_maquina) AS qual
+  FROM k)
+SELECT cod_estabelecimento, cod_maquina, CAST(util AS BIGINT) AS segundos_uteis, round(coalesce(CAST(disp AS DOUBLE) / nullif(util, 0), 0), 6) AS pct_disponibilidade,
+       round(coalesce(CAST(setup AS DOUBLE) / nullif(util, 0), 0), 6) AS pct_setup, round(coalesce(CAST(perf AS DOUBLE) / nullif(util, 0), 0), 6) AS pct_performance,
+       round(coalesce(CAST(qual AS DOUBLE) / nullif(util, 0), 0), 6) AS pct_qualidade,
+       round(1 - coalesce(CAST(disp AS DOUBLE) / nullif(util, 0), 0) - coalesce(CAST(setup AS DOUBLE) / nullif(util, 0), 0)
+             - coalesce(CAST(perf AS DOUBLE) / nullif(util, 0), 0) - coalesce(CAST(qual AS DOUBLE) / nullif(util, 0), 0), 6) AS pct_oee
+FROM m"""

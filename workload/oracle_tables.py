@@ -62,6 +62,11 @@ STOP_STATE = {
 }
 STOP_CHANGED = " OR ".join([f"t.{c} IS DISTINCT FROM s.{c}" for c in STOP_COLUMNS] + ["t.data_hora_fim IS NULL"])
 
+# Of two copies the later end wins; without an end the smaller status does.
+STAGED_STOPS = with_roles(
+    "SELECT * REPLACE (data_hora_fim + INTERVAL 60 SECOND AS data_hora_fim, CASE WHEN data_hora_fim IS NULL THEN status ELSE status + 1 END AS status) FROM stops"
+)
+
 MERGED_STOPS = with_roles(
     merged("tgt", "src", ["id_estabelecimento", "id"], STOP_COLUMNS, changed=STOP_CHANGED, missing="delete",
            where=window("data_hora_inicio", "data_hora_fim", 15)),

@@ -62,7 +62,30 @@ def _balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(oee.cycle_balance(shop_floor(spark, sf_dir), PERIOD), "soma_ganho", "soma_perda", "saldo_tc")
 
 
+def _measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dashboard measures per plant and machine, from the detail reports."""
+    floor = shop_floor(spark, sf_dir)
+    out = oee.oee_measures(
+        oee.stop_detail(floor, PERIOD),
+        oee.cycle_detail(floor, PERIOD),
+        oee.performance_loss_detail(floor, PERIOD),
+        oee.quality_loss_detail(floor, PERIOD),
+        oee.useful_time_detail(floor, PERIOD),
+        ["cod_estabelecimento", "cod_maquina"],
+    )
+    return rounded(out, *[c for c in out.columns if c.startswith("pct_")])
+
+
+def _monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = oee.oee(shop_floor(spark, sf_dir), PERIOD, grain=["id_fabrica"], every="month")
+    return as_double(out, "pct_oee", "pct_disp", "pct_perf", "pct_qual").withColumn(
+        "hrs_boas", F.col("hrs_boas").cast("bigint")
+    )
+
+
 QUERIES = {
+    "oee_factory_month": (_monthly, sql.OEE_FACTORY_MONTH),
+    "oee_measures_machine": (_measures, sql.OEE_MEASURES),
     "oee_product_day": (_oee("cod_produto"), sql.OEE),
     "oee_machine_day": (_oee("maquina_id"), sql.OEE_MACHINE),
     "oee_sector_day": (_oee("id_setor"), sql.OEE_SECTOR),

@@ -144,6 +144,16 @@ def latest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(roles.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate")
 
 
+def staged_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw stops under their source names, each landed twice, as staged silver rows."""
+    spec = silver.TABLES["stops"]
+    names = {n: source for source, n in spec.columns.items()}
+    twice = roles.stops(spark, sf_dir).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    ends = F.timestamp_add("SECOND", F.col("copy") * 60, F.col("data_hora_fim"))
+    raw = twice.withColumns({"data_hora_fim": ends, "status": F.col("status") + F.col("copy")}).drop("copy")
+    return silver.staged(raw.withColumnsRenamed(names), spec)
+
+
 # --- gold --------------------------------------------------------------------------------
 
 
@@ -200,6 +210,7 @@ def merged_gold_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "latest_line_per_key": (latest_lines, sql.LATEST_LINES),
+    "silver_stops_staged": (staged_stops, sql.STAGED_STOPS),
     "silver_stops_merged": (merged_stops, sql.MERGED_STOPS),
     "silver_stops_backfilled": (backfilled_stops, sql.BACKFILLED_STOPS),
     "silver_quality_merged": (_merged_points("quality"), sql.merged_points("quality")),
