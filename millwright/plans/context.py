@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millwright.functions import codes
 from millwright.functions.clock import AsOf
 from millwright.functions.values import not_in
+from millwright.operators.joins import join_dimension
 from millwright.operators.shifts import sector_schedules, with_shifts
 
 
@@ -75,10 +76,10 @@ def machine_context(floor: ShopFloor, period: Period, rule: str = "oee") -> Data
     )
 
 
-def on_machine(fact: DataFrame, context: DataFrame, *columns: str) -> DataFrame:
+def on_machine(floor: ShopFloor, fact: DataFrame, context: DataFrame, *columns: str) -> DataFrame:
     """Fact rows whose machine is in the context, with the wanted context columns."""
     keys = ["id_estabelecimento", "maquina_id"]
-    return fact.join(context.select(*keys, *columns), keys)
+    return join_dimension(fact, context.select(*keys, *columns), keys, bounded_by=floor.machines)
 
 
 def reasons_of(floor: ShopFloor, weight: str | None = None) -> DataFrame:

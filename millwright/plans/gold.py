@@ -11,6 +11,7 @@ from millwright.functions import clock, codes
 from millwright.functions.clock import AsOf
 from millwright.functions.values import label, ratio, short_md5
 from millwright.operators.intervals import in_window, point_in_window, touches_range
+from millwright.operators.joins import join_dimension, join_sparse
 from millwright.operators.merge import merge_into, replace_window
 from millwright.plans.oee import stop_class
 
@@ -22,9 +23,11 @@ def dimension(df: DataFrame, key: str, as_key: str, names: dict[str, str]) -> Da
     return df.select(PLANT, F.col(key).alias(as_key), *[F.col(c).alias(n) for c, n in names.items()])
 
 
-def enrich(fact: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """Star join on (plant, key). The physical join is left to size statistics."""
-    return fact.join(dim, [PLANT, key], how)
+def enrich(
+    fact: DataFrame, dim: DataFrame, key: str, how: str = "left", bounded_by: DataFrame | None = None
+) -> DataFrame:
+    """Star join on (plant, key): broadcast below the size limit, salted above it."""
+    return join_dimension(fact, dim, [PLANT, key], how, bounded_by)
 
 
 def _place(machines: DataFrame, sectors: DataFrame, factories: DataFrame, how: str) -> DataFrame:
@@ -50,12 +53,10 @@ def group_setup_types(
     if window is not None:
         rows = rows.where(window)
     types = setup_reasons.select(PLANT, "codigo", "tipo_setup")
-    return (
-        rows.select(PLANT, "id_grupo", "codigo")
-        .join(types, [PLANT, "codigo"], "left")
-        .groupBy(*keys)
-        .agg(F.max("tipo_setup").alias("tipo_setup_grupo"))
+    typed = join_dimension(
+        rows.select(PLANT, "id_grupo", "codigo"), types, [PLANT, "codigo"], "left", bounded_by=setup_reasons
     )
+    return typed.groupBy(*keys).agg(F.max("tipo_setup").alias("tipo_setup_grupo"))
 
 
 def setup_type(plant: Column, code: Column) -> Column:
@@ -93,9 +94,9 @@ def gold_stops(
     groups = family_groups.select(F.col("id").alias("grupo"), F.col("descricao").alias("grupo_descricao"))
     reason = enrich(_reasons(reasons), family, "id_familia", "inner").join(groups, "grupo", "left")
 
-    rows = enrich(stops.where(window), _place(machines, sectors, factories, "inner"), "maquina_id", "inner")
-    rows = enrich(rows, reason, "codigo", "inner")
-    rows = rows.join(types, [PLANT, "id_grupo"] if plant_scoped else ["id_grupo"], "left")
+    rows = enrich(stops.where(window), _place(machines, sectors, factories, "inner"), "maquina_id", "inner", machines)
+    rows = enrich(rows, reason, "codigo", "inner", reasons)
+    rows = join_sparse(rows, types, [PLANT, "id_grupo"] if plant_scoped else ["id_grupo"], "id_grupo", "id")
     tipo_setup = F.coalesce("tipo_setup_grupo", setup_type(F.col(PLANT), F.col("codigo")))
     rows = rows.withColumn("tipo_setup", tipo_setup)
     is_setup = F.col("tipo_setup").isNotNull()
@@ -140,7 +141,7 @@ def gold_quality(
     """Quality losses with names, the origin machine and the lost time."""
     origin = dimension(machines, "id", "maquina_id_origem", {"nome": "nome_equipamento_origem"})
     rows = quality.where(point_in_window(F.col("data_hora"), as_of, days))
-    rows = enrich(rows, _place(machines, sectors, factories, "left"), "maquina_id")
+    rows = enrich(rows, _place(machines, sectors, factories, "left"), "maquina_id", bounded_by=machines)
     rows = enrich(enrich(rows, _reasons(reasons), "codigo"), origin, "maquina_id_origem")
     lost = ratio(F.col("ciclo") * F.col("valor"), F.col("pares_batida"))
     return _point_fact(
@@ -155,7 +156,7 @@ def gold_performance(
 ) -> DataFrame:
     """Performance losses with names and the lost time."""
     rows = performance.where(point_in_window(F.col("data_hora"), as_of, days))
-    rows = enrich(rows, _place(machines, sectors, factories, "left"), "maquina_id")
+    rows = enrich(rows, _place(machines, sectors, factories, "left"), "maquina_id", bounded_by=machines)
     rows = enrich(rows, _reasons(reasons), "codigo")
     return _point_fact(
         rows.withColumn("tempo_perda_performance", F.col("ciclo") * F.col("valor")), performance,
@@ -179,7 +180,8 @@ def gold_support_calls(
     family = dimension(families, "id", "id_familia", {"descricao": "familia"})
     reason = enrich(_reasons(reasons), family, "id_familia")
     rows = calls.where(in_window(F.col("data_hora_inicio"), F.col("data_hora_fim"), as_of, days))
-    rows = enrich(enrich(rows, reason, "codigo"), _place(machines, sectors, factories, "left"), "maquina_id")
+    rows = enrich(rows, reason, "codigo", bounded_by=reasons)
+    rows = enrich(rows, _place(machines, sectors, factories, "left"), "maquina_id", bounded_by=machines)
     return rows.select(
         PLANT, "id", "data_hora_inicio", "data_hora_fim", "tempo", "status", "codigo",
         F.col("descricao").alias("descricao_motivo"), "familia", "peso_oee", "maquina_id", "nome_equipamento",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millwright.functions import codes
 from millwright.functions.values import fold, ratio, same_text, starts_with_text
+from millwright.operators.joins import join_dimension
 from millwright.plans.calendar import bimester
 
 MONTHS = (1, 2, 3, 4)
@@ -155,7 +156,8 @@ def gains_wide(staged: DataFrame) -> DataFrame:
 def with_hours_and_cost(df: DataFrame, hours: DataFrame, costs: DataFrame, date: str = "dt_fap") -> DataFrame:
     """Monthly hours by sector and cost by plant, for the month of ``date``.
 
-    Text keys are folded once into plain strings, so the joins stay ordinary equi-joins.
+    Text keys are folded once into plain strings, so the joins stay ordinary equi-joins. Few
+    sector-months hold all components, so a shuffle on the key alone would be skewed.
     """
     h = hours.select(
         fold(F.col("setor")).alias("_setor"), F.year("mes").alias("_ano"), F.month("mes").alias("_mes"), "ch_mensal"
@@ -174,11 +176,9 @@ def with_hours_and_cost(df: DataFrame, hours: DataFrame, costs: DataFrame, date:
             "_mes": F.month(date),
         }
     )
-    return (
-        keyed.join(h, ["_setor", "_ano", "_mes"], "left")
-        .join(c, ["_filial", "_ano", "_mes"], "left")
-        .drop("_setor", "_filial", "_ano", "_mes")
-    )
+    keyed = join_dimension(keyed, h, ["_setor", "_ano", "_mes"], "left")
+    keyed = join_dimension(keyed, c, ["_filial", "_ano", "_mes"], "left")
+    return keyed.drop("_setor", "_filial", "_ano", "_mes")
 
 
 def money(hours: Column, n: Column | int) -> Column:

@@ -23,6 +23,7 @@ from millwright.functions.values import (
 )
 from millwright.operators.dedup import first_per_key, without_repeated_open_runs
 from millwright.operators.intervals import covered_seconds, overlaps_period
+from millwright.operators.joins import join_dimension, join_sparse
 from millwright.operators.shifts import cut_at_shifts
 from millwright.plans.context import Period, ShopFloor, machine_context, on_machine, reasons_of
 
@@ -42,10 +43,13 @@ def _near_period(ts: Column, period: Period) -> Column:
     return (ts >= start) & (ts < end)
 
 
-def _event_day(fact: DataFrame, context: DataFrame, period: Period, *columns: str) -> DataFrame:
+def _event_day(
+    floor: ShopFloor, fact: DataFrame, context: DataFrame, period: Period, *columns: str
+) -> DataFrame:
     """Point events on included machines with their production day, inside the period."""
+    near = fact.where(_near_period(F.col("data_hora"), period))
     return (
-        on_machine(fact.where(_near_period(F.col("data_hora"), period)), context, "inicio_dia", *columns)
+        on_machine(floor, near, context, "inicio_dia", *columns)
         .withColumn("data", clock.production_day(F.col("data_hora"), F.col("inicio_dia")))
         .where(_in_period(F.col("data"), period))
     )
@@ -76,9 +80,12 @@ def period_stops(floor: ShopFloor, period: Period, weight: str, *columns: str) -
     """Closed stops with the given reason weight that touch the period."""
     return floor.stops.where(
         overlaps_period(F.col("data_hora_inicio"), F.col("data_hora_fim"), period.start, period.end)
-    ).join(
-        reasons_of(floor, weight).select(PLANT, "codigo", *columns), [PLANT, "codigo"]
-    )
+    ).transform(_with_reason, floor, weight, "inner", *columns)
+
+
+def _with_reason(fact: DataFrame, floor: ShopFloor, weight: str | None, how: str, *columns: str) -> DataFrame:
+    reasons = reasons_of(floor, weight).select(PLANT, "codigo", *columns)
+    return join_dimension(fact, reasons, [PLANT, "codigo"], how, bounded_by=floor.reasons)
 
 
 def useful_time_by_shift(floor: ShopFloor, period: Period, rule: str) -> DataFrame:
@@ -91,12 +98,13 @@ def useful_time_by_shift(floor: ShopFloor, period: Period, rule: str) -> DataFra
         )
 
     runs = cut(
-        on_machine(valid_runs(floor, period), context, "nome_maquina", *PLACE, "turnos"),
+        on_machine(floor, valid_runs(floor, period), context, "nome_maquina", *PLACE, "turnos"),
         "data_inicio",
         "data_fim",
     )
     stops = cut(
         on_machine(
+            floor,
             period_stops(floor, period, codes.UNWEIGHTED).select(
                 PLANT, "maquina_id", "data_hora_inicio", "data_hora_fim"
             ),
@@ -159,6 +167,7 @@ def _stop_losses(floor: ShopFloor, period: Period, context: DataFrame, keys: Seq
     )
     cut = cut_at_shifts(
         on_machine(
+            floor,
             stops.select(PLANT, "maquina_id", "cod_produto", "data_hora_inicio", "data_hora_fim", is_setup.alias("setup")),
             context,
             *PLACE,
@@ -188,9 +197,8 @@ def stop_seconds(floor: ShopFloor, period: Period) -> DataFrame:
 
 
 def _quality_losses(floor: ShopFloor, period: Period, context: DataFrame, keys: Sequence[str]) -> DataFrame:
-    weighted = reasons_of(floor, codes.WEIGHTED).select(PLANT, "codigo")
-    events = _event_day(floor.quality, context, period, *PLACE).join(weighted, [PLANT, "codigo"])
-    return events.withColumnRenamed("numero_produto", "cod_produto").select(
+    events = _event_day(floor, floor.quality, context, period, *PLACE)
+    return _with_reason(events, floor, codes.WEIGHTED, "inner").withColumnRenamed("numero_produto", "cod_produto").select(
         PLANT, *keys, "data", quality_seconds().alias("tempo_qual")
     )
 
@@ -201,7 +209,7 @@ def quality_seconds() -> Column:
 
 def _performance_losses(floor: ShopFloor, period: Period, context: DataFrame, keys: Sequence[str]) -> DataFrame:
     return (
-        _event_day(floor.performance, context, period, *PLACE)
+        _event_day(floor, floor.performance, context, period, *PLACE)
         .withColumnRenamed("numero_produto", "cod_produto")
         .select(PLANT, *keys, "data", (F.col("valor") * F.col("ciclo")).alias("tempo_perf_perdas"))
     )
@@ -214,7 +222,7 @@ def _cycle_events(floor: ShopFloor) -> DataFrame:
 def _cycle_balance(floor: ShopFloor, period: Period, context: DataFrame, keys: Sequence[str]) -> DataFrame:
     deviation = F.col("diferenca")
     return (
-        _event_day(_cycle_events(floor), context, period, *PLACE)
+        _event_day(floor, _cycle_events(floor), context, period, *PLACE)
         .withColumnRenamed("numero_produto", "cod_produto")
         .select(PLANT, *keys, "data", (gain(deviation) + loss(deviation)).alias("saldo_tc"))
     )
@@ -223,7 +231,7 @@ def _cycle_balance(floor: ShopFloor, period: Period, context: DataFrame, keys: S
 def cycle_balance(floor: ShopFloor, period: Period) -> DataFrame:
     """Cycle gain, loss and balance per product and production day."""
     deviation = F.col("diferenca")
-    events = _event_day(_cycle_events(floor), machine_context(floor, period), period)
+    events = _event_day(floor, _cycle_events(floor), machine_context(floor, period), period)
     return (
         events.groupBy(PLANT, F.col("numero_produto").alias("cod_produto"), "data")
         .agg(F.sum(gain(deviation)).alias("soma_ganho"), F.sum(loss(deviation)).alias("soma_perda"))
@@ -374,7 +382,7 @@ def group_setup_labels(floor: ShopFloor, period: Period) -> DataFrame:
         & (F.col("data_hora_inicio") <= clock.ntz(period.end))
         & not_in(F.col("codigo"), codes.NOT_A_GROUP_SETUP)
     ).select(PLANT, "id_grupo", "codigo", "data_hora_inicio", "id")
-    named = stops.join(reasons_of(floor).select(PLANT, "codigo", "motivo"), [PLANT, "codigo"])
+    named = _with_reason(stops, floor, None, "inner", "motivo")
     first = first_per_key(
         named, [PLANT, "id_grupo"], [F.col("data_hora_inicio").asc(), F.col("id").asc()]
     )
@@ -424,12 +432,14 @@ def stop_detail(floor: ShopFloor, period: Period) -> DataFrame:
     context = machine_context(floor, period, "stop_detail")
     stops = period_stops(floor, period, codes.WEIGHTED, "motivo", "peso_oee", "id_familia")
     stops = on_machine(
+        floor,
         stops.select(
             PLANT, "id", "maquina_id", "codigo", "data_hora_inicio", "data_hora_fim", "status", "programa",
             "documento", "numero_produto", "id_grupo", "motivo", "peso_oee", "id_familia",
         ),
         context, "nome_maquina", "id_fabrica", "turnos",
-    ).join(group_setup_labels(floor, period), [PLANT, "id_grupo"], "left")
+    )
+    stops = join_sparse(stops, group_setup_labels(floor, period), [PLANT, "id_grupo"], "id_grupo", "id")
 
     family = label(label(F.col("id_familia"), codes.FAMILY_GROUP).cast("int"), codes.FAMILY_GROUP_NAME)
     setup = F.coalesce(
@@ -511,7 +521,7 @@ def _grouped(events: DataFrame, keys: dict[str, Column]):
 def cycle_detail(floor: ShopFloor, period: Period) -> DataFrame:
     """Average and total cycle figures per machine, product, day and shift."""
     context = machine_context(floor, period)
-    events = _event_day(_cycle_events(floor), context, period, "nome_maquina")
+    events = _event_day(floor, _cycle_events(floor), context, period, "nome_maquina")
     measures = {
         "ciclo_padrao": F.col("ciclo_ti"),
         "ciclo_real": F.col("ciclo_atual"),
@@ -532,9 +542,8 @@ def performance_loss_detail(floor: ShopFloor, period: Period) -> DataFrame:
     losses = floor.performance.where(
         F.col("data_hora").between(clock.ntz(period.start), clock.ntz(period.end))
     )
-    events = _event_day(losses, context, period, "nome_maquina").join(
-        reasons_of(floor).select(PLANT, "codigo", "motivo"), [PLANT, "codigo"], "left"
-    )
+    events = _event_day(floor, losses, context, period, "nome_maquina")
+    events = _with_reason(events, floor, None, "left", "motivo")
     keys = _detail_keys("data_perda") | {"des_perda": F.col("motivo")}
     return _grouped(events, keys).agg(
         F.sum("valor").alias("qtd_perda"),
@@ -545,9 +554,8 @@ def performance_loss_detail(floor: ShopFloor, period: Period) -> DataFrame:
 def quality_loss_detail(floor: ShopFloor, period: Period) -> DataFrame:
     """Weighted quality losses per machine, product, day, shift and reason."""
     context = machine_context(floor, period)
-    events = _event_day(floor.quality, context, period, "nome_maquina").join(
-        reasons_of(floor, codes.WEIGHTED).select(PLANT, "codigo", "motivo"), [PLANT, "codigo"]
-    )
+    events = _event_day(floor, floor.quality, context, period, "nome_maquina")
+    events = _with_reason(events, floor, codes.WEIGHTED, "inner", "motivo")
     keys = _detail_keys("data_apontamento") | {
         "cod_motivo_apontamento": F.col("codigo"),
         "des_motivo_apontamento": F.col("motivo"),

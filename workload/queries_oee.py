@@ -45,7 +45,7 @@ def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _run_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     floor = shop_floor(spark, sf_dir)
-    runs = on_machine(oee.valid_runs(floor, PERIOD), machine_context(floor, PERIOD))
+    runs = on_machine(floor, oee.valid_runs(floor, PERIOD), machine_context(floor, PERIOD))
     stops = oee.period_stops(floor, PERIOD, codes.UNWEIGHTED).select(
         "id_estabelecimento", "maquina_id", "data_hora_inicio", "data_hora_fim"
     )
