@@ -41,7 +41,7 @@ def gains(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("cracha_idealizador"),
         F.concat(F.lit("Nome "), (F.col("o_custkey") % 1000).cast("string")).alias("nome_idealizador"),
         F.concat(F.lit("G"), (F.col("o_custkey") % 7).cast("string")).alias("gerente_idealizador"),
-        F.round(F.col("l_extendedprice") / 1000, 2).alias("preco_mp"),
+        (F.floor(F.col("l_extendedprice") / 10) / 100).alias("preco_mp"),
         F.col("l_discount").alias("consumo_anterior"),
         F.col("l_tax").alias("consumo_atual"),
         q.alias("tc_anterior"),
