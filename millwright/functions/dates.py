@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +32,11 @@ def _shift_hours(local: Column, zone: str) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), local)
 
 
+def _number(digits: Column) -> Column:
+    """Matched digits as a number; an absent part is NULL (a failed cast would be costly)."""
+    return F.when(digits != "", digits.cast("int"))
+
+
 _ISO = r"^\s*(\d{4}-\d{2}-\d{2})(?:[ T](\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?))?\s*(Z|[+-]\d{2}:?\d{2})?\s*$"
 
 
@@ -41,34 +46,60 @@ def iso_timestamp(c: Column, zone: str | None = None) -> Column:
     day, time, offset = (F.regexp_extract(c, _ISO, i) for i in (1, 2, 3))
     wall = F.concat_ws(" ", day, F.when(time != "", time)).try_cast("timestamp_ntz")
     digits = F.regexp_replace(offset, "[^0-9]", "")
-    minutes = F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")
+    minutes = _number(F.substring(digits, 1, 2)) * 60 + _number(F.substring(digits, 3, 2))
     ahead = F.when(offset.startswith("-"), -minutes).otherwise(minutes)
     utc = F.timestamp_add("MINUTE", -F.coalesce(ahead, F.lit(0)), wall)
     return utc if zone is None else _shift_hours(utc, zone)
 
 
 def _slash_parts(c: Column) -> list[Column]:
-    return [F.regexp_extract(c, codes.SLASH_DATE_PATTERN, i).try_cast("int") for i in range(1, 7)]
+    return [_number(F.regexp_extract(c, codes.SLASH_DATE_PATTERN, i)) for i in range(1, 7)]
 
 
 def _made(year: Column, month: Column, day: Column, time: Sequence[Column]) -> Column:
-    """A naive timestamp, NULL when the parts name no real date."""
+    """A naive timestamp, NULL when the parts name no real date.
+
+    The parts are checked first: a failed construction costs an exception per value, and
+    about half of all alternative readings are no dates.
+    """
     hour, minute, second = (F.coalesce(t, F.lit(0)) for t in time)
-    return F.try_make_timestamp_ntz(year, month, day, hour, minute, second.cast("decimal(16,6)"))
+    leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+    february = F.when(leap, 29).otherwise(28)
+    length = F.when(month == 2, february).when(month.isin(4, 6, 9, 11), 30).otherwise(31)
+    real = (year >= 1) & month.between(1, 12) & (day >= 1) & (day <= length)
+    real = real & (hour < 24) & (minute < 60) & (second < 60)
+    return F.when(real, F.make_timestamp_ntz(year, month, day, hour, minute, second.cast("decimal(16,6)")))
 
 
-def repaired(raw: Column, created: Column, modified: Column, utc: bool = False, zone: str = codes.LOCAL_ZONE) -> Column:
-    """Event time of a ``d/m/y`` or ``m/d/y`` text, decided by the life of its item.
+def _readings(df: DataFrame, zones: Mapping[str, str | None]) -> DataFrame:
+    """Adds, per column, its text and its day-first and month-first readings.
 
-    Both readings are built and the one inside ``[created - 2 days, modified + 2 days]``
-    wins; if both or none are inside, day-first does. Text of another shape is parsed as ISO.
+    Done in steps, so that each pattern is matched once per value instead of once per use.
     """
-    text = text_or_null(raw)
-    a, b, year, *time = _slash_parts(text)
-    readings = [_made(year, b, a, time), _made(year, a, b, time)]
-    if utc:
-        readings = [_shift_hours(r, zone) for r in readings]
-    day_first, month_first = readings
+    names = list(zones)
+    df = df.withColumns({f"_t_{n}": text_or_null(F.col(n)) for n in names})
+
+    def parts(n: str) -> Column:
+        text = F.col(f"_t_{n}")
+        fields = [p.alias(f"p{i}") for i, p in enumerate(_slash_parts(text), start=1)]
+        return F.when(text.rlike(codes.SLASH_DATE_PATTERN), F.struct(*fields))
+
+    df = df.withColumns({f"_p_{n}": parts(n) for n in names})
+
+    def made(n: str, month: str, day: str) -> Column:
+        p = F.col(f"_p_{n}")
+        out = _made(p["p3"], p[month], p[day], [p["p4"], p["p5"], p["p6"]])
+        return out if zones[n] is None else _shift_hours(out, zones[n])
+
+    day_first = {f"_a_{n}": made(n, "p2", "p1") for n in names}
+    month_first = {f"_b_{n}": made(n, "p1", "p2") for n in names}
+    return df.withColumns(day_first | month_first)
+
+
+def _picked(n: str, created: Column, modified: Column) -> Column:
+    """The reading inside ``[created - 2 days, modified + 2 days]``; if both or none are
+    inside, the day-first one. Text of another shape is parsed as ISO."""
+    day_first, month_first = F.col(f"_a_{n}"), F.col(f"_b_{n}")
     slack = codes.ANCHOR_TOLERANCE_DAYS
     low = F.timestamp_add("DAY", F.lit(-slack), created)
     high = F.timestamp_add("DAY", F.lit(slack), modified)
@@ -76,23 +107,22 @@ def repaired(raw: Column, created: Column, modified: Column, utc: bool = False,
     def inside(c: Column) -> Column:
         return F.coalesce(c >= low, F.lit(True)) & F.coalesce(c <= high, F.lit(True))
 
-    month_wins = month_first.isNotNull() & inside(month_first) & ~inside(day_first)
-    picked = F.when(day_first.isNull(), month_first).when(month_wins, month_first).otherwise(day_first)
-    return F.when(text.rlike(codes.SLASH_DATE_PATTERN), picked).otherwise(iso_timestamp(text))
+    month_wins = day_first.isNull() | (month_first.isNotNull() & inside(month_first) & ~inside(day_first))
+    picked = F.when(month_wins, month_first).otherwise(day_first)
+    return F.when(F.col(f"_p_{n}").isNotNull(), picked).otherwise(iso_timestamp(F.col(f"_t_{n}")))
 
 
-def day_first(raw: Column) -> Column:
-    """A manually typed date, day first; month first only when day first is impossible."""
-    text = text_or_null(raw)
-    a, b, year, *time = _slash_parts(text)
-    return F.coalesce(_made(year, b, a, time), _made(year, a, b, time), iso_timestamp(text))
+def _typed_by_hand(n: str) -> Column:
+    """A manually typed date: day first, month first only when that is impossible."""
+    slash = F.coalesce(F.col(f"_a_{n}"), F.col(f"_b_{n}"))
+    return F.when(F.col(f"_p_{n}").isNotNull(), slash).otherwise(iso_timestamp(F.col(f"_t_{n}")))
 
 
 def resolve_dates(df: DataFrame, fields: DateFields, zone: str = codes.LOCAL_ZONE) -> DataFrame:
     """All date columns of a list as naive local time; columns that are absent are skipped.
 
-    System fields that are already timestamps are kept; ``Created`` and ``Modified`` anchor
-    the events.
+    Event texts are ``d/m/y`` or ``m/d/y`` and decided by the life of their item: ``Created``
+    and ``Modified`` anchor them. System fields that are already timestamps are kept.
     """
     types = dict(df.dtypes)
 
@@ -101,15 +131,28 @@ def resolve_dates(df: DataFrame, fields: DateFields, zone: str = codes.LOCAL_ZON
 
     system = {n: iso_timestamp(text_or_null(F.col(n)), zone) for n in present(fields.system) if types[n] == "string"}
     out = df.withColumns(system) if system else df
+    zones = {n: None for n in (*present(fields.local), *present(fields.manual))}
+    zones |= {n: zone for n in present(fields.utc)}
+    if not zones:
+        return out
 
     def anchor(name: str) -> Column:
         return F.col(name).cast("timestamp_ntz") if name in types else F.lit(None).cast("timestamp_ntz")
 
-    created, modified = anchor("Created"), anchor("Modified")
-    events = {n: repaired(F.col(n), created, modified, False, zone) for n in present(fields.local)}
-    events |= {n: repaired(F.col(n), created, modified, True, zone) for n in present(fields.utc)}
-    events |= {n: day_first(F.col(n)) for n in present(fields.manual)}
-    return out.withColumns(events) if events else out
+    manual = set(fields.manual)
+    out = _readings(out, zones)
+    final = {
+        n: _typed_by_hand(n) if n in manual else _picked(n, anchor("Created"), anchor("Modified")) for n in zones
+    }
+    out = out.withColumns(final)
+    return out.drop(*[f"_{k}_{n}" for k in "tpab" for n in zones])
+
+
+def day_first(raw: Column) -> Column:
+    """A date text read day first; month first only when day first is impossible."""
+    text = text_or_null(raw)
+    a, b, year, *time = _slash_parts(text)
+    return F.coalesce(_made(year, b, a, time), _made(year, a, b, time), iso_timestamp(text))
 
 
 def parsed_timestamp(c: Column) -> Column:
