@@ -13,19 +13,19 @@ from millwright.operators.nested import matched
 # JSON keys of the webhook body, and of the two arrays in it.
 BODY = (
     "estab", "mercado", "produto", "codEstab", "deposito", "codDeposito", "codProduto", "descProduto", "qtdeEliminar",
-    "marcaGrendene", "statusProduto", "valorResidual", "descFerramenta", "numeroProcesso", "tipoFerramenta",
+    "statusProduto", "valorResidual", "descFerramenta", "numeroProcesso", "tipoFerramenta",
     "qtdeEstoqueAtual", "dataLimiteAnalise", "segmentoDeNegocio", "codGrupoFerramental", "descSegmentoNegocio",
     "descGrupoFerramental",
 )
 SKU = ("sku", "descricao", "status", "qtdCif", "codFabrica", "ferramenta", "qtdEstoque")
 RELATED = (
-    "estab", "produto", "codProduto", "descProduto", "desMarcaGrendene", "ultimoLancamento", "descricaoComponente",
+    "estab", "produto", "codProduto", "descProduto", "ultimoLancamento", "descricaoComponente",
 )
 # Body key -> column of the events table, and the typed ones.
 EVENT_COLUMNS = {
     "estab": "estabelecimento", "mercado": "mercado", "produto": "produto", "codEstab": "cod_estabelecimento",
     "deposito": "deposito", "codDeposito": "cod_deposito", "codProduto": "cod_produto", "descProduto": "desc_produto",
-    "qtdeEliminar": "qtde_eliminar", "marcaGrendene": "marca_grendene", "statusProduto": "status_produto",
+    "qtdeEliminar": "qtde_eliminar", "statusProduto": "status_produto",
     "valorResidual": "valor_residual", "descFerramenta": "desc_ferramenta", "numeroProcesso": "numero_processo",
     "tipoFerramenta": "tipo_ferramenta", "qtdeEstoqueAtual": "qtde_estoque_atual",
     "dataLimiteAnalise": "data_limite_analise", "segmentoDeNegocio": "segmento_de_negocio",
@@ -42,9 +42,16 @@ def _texts(names: Sequence[str]) -> str:
     return "struct<" + ",".join(f"{n}:string" for n in names) + ">"
 
 
-BODY_SCHEMA = (
-    "corpo " + _texts(BODY)[:-1] + f",skuFerramentas:array<{_texts(SKU)}>,produtosRelacionados:array<{_texts(RELATED)}>>"
-)
+def body_schema(brand_key: str, related_brand_key: str) -> str:
+    """Webhook body; the keys that hold the brand differ between installations."""
+    return (
+        "corpo " + _texts((*BODY, brand_key))[:-1]
+        + f",skuFerramentas:array<{_texts(SKU)}>,produtosRelacionados:array<{_texts((*RELATED, related_brand_key))}>>"
+    )
+
+
+# Brand keys of a body without an installation prefix; callers name their own.
+BRAND_KEY, RELATED_BRAND_KEY = "marca", "desMarca"
 RESERVE_SCHEMA = (
     "result struct<corpoParaAPIReservar:struct<param:array<struct<id_flake:string,cod_usuario:string>>,"
     "Ferramentais:array<struct<desArea:string,datReserva:string,desJustificativa:string,skuFerramentas:array<struct<codSku:string>>>>>>"
@@ -59,9 +66,12 @@ def _date(text: Column) -> Column:
     return F.to_date(text, "dd/MM/yyyy")
 
 
-def events(logs: DataFrame, workflows: Sequence[str] = codes.TOOLING_WORKFLOWS) -> DataFrame:
+def events(
+    logs: DataFrame, workflows: Sequence[str] = codes.TOOLING_WORKFLOWS, brand_key: str = BRAND_KEY
+) -> DataFrame:
     """One row per webhook log with a plant in its body."""
-    rows = _logs(logs, "WEB_HOOK", workflows).withColumn("_d", F.from_json("data", BODY_SCHEMA))
+    schema = body_schema(brand_key, RELATED_BRAND_KEY)
+    rows = _logs(logs, "WEB_HOOK", workflows).withColumn("_d", F.from_json("data", schema))
 
     def column(key: str, name: str) -> Column:
         c = F.col(f"_d.corpo.{key}")
@@ -74,14 +84,17 @@ def events(logs: DataFrame, workflows: Sequence[str] = codes.TOOLING_WORKFLOWS)
         F.col("criado_em").alias("data_criacao"),
         F.col("atualizado_em"),
         *[column(k, n) for k, n in EVENT_COLUMNS.items()],
+        column(brand_key, "marca"),
     )
 
 
-def _elements(logs: DataFrame, workflows: Sequence[str], array: str) -> DataFrame:
+def _elements(
+    logs: DataFrame, workflows: Sequence[str], array: str, related_brand_key: str = RELATED_BRAND_KEY
+) -> DataFrame:
     """One row per array element; logs without the array vanish."""
     rows = _logs(logs, "WEB_HOOK", workflows)
     return rows.select(
-        F.col("id").alias("log_id"), F.explode(F.from_json("data", BODY_SCHEMA)["corpo"][array]).alias("e")
+        F.col("id").alias("log_id"), F.explode(F.from_json("data", body_schema(BRAND_KEY, related_brand_key))["corpo"][array]).alias("e")
     )
 
 
@@ -98,14 +111,16 @@ def skus(logs: DataFrame, workflows: Sequence[str] = codes.TOOLING_WORKFLOWS) ->
     )
 
 
-def related_products(logs: DataFrame, workflows: Sequence[str] = codes.TOOLING_WORKFLOWS) -> DataFrame:
-    return _elements(logs, workflows, "produtosRelacionados").select(
+def related_products(
+    logs: DataFrame, workflows: Sequence[str] = codes.TOOLING_WORKFLOWS, brand_key: str = RELATED_BRAND_KEY
+) -> DataFrame:
+    return _elements(logs, workflows, "produtosRelacionados", brand_key).select(
         "log_id",
         F.col("e.estab").alias("estabelecimento"),
         "e.produto",
         F.col("e.codProduto").alias("cod_produto"),
         F.col("e.descProduto").alias("desc_produto"),
-        F.col("e.desMarcaGrendene").alias("des_marca_grendene"),
+        F.col(f"e.{brand_key}").alias("des_marca"),
         F.col("e.ultimoLancamento").alias("ultimo_lancamento"),
         F.col("e.descricaoComponente").alias("descricao_componente"),
     )
