@@ -32,7 +32,8 @@ from millwright.llm.words import BARE, FOLDED_VALUES, WORD, SpanHasher, mix, tex
 WORD_BITS = 14
 SHAPE_BITS = 12
 N_BUCKETS = (1 << WORD_BITS) + (1 << SHAPE_BITS)
-SMOOTHING = 0.5
+# Added to seen and expected counts, so that buckets with little evidence have a ratio near 1.
+SMOOTHING = 4.0
 _KIND = np.where(BARE, 1, np.where(WORD, 2, 0)).astype(np.uint8)
 _UPPER = np.zeros(256, bool)
 _UPPER[ord("A") : ord("Z") + 1] = True
@@ -106,8 +107,8 @@ def log_ratios(docs: DataFrame, good: np.ndarray) -> np.ndarray:
         return np.zeros(N_BUCKETS)
     out = np.zeros(N_BUCKETS)
     for part in (slice(0, 1 << WORD_BITS), slice(1 << WORD_BITS, N_BUCKETS)):
-        t, r = target[part] + SMOOTHING, raw[part] + SMOOTHING
-        out[part] = np.log(t / t.sum()) - np.log(r / r.sum())
+        expected = raw[part] * (target[part].sum() / raw[part].sum())
+        out[part] = np.log((target[part] + SMOOTHING) / (expected + SMOOTHING))
     return out
 
 

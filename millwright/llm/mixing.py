@@ -57,8 +57,10 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int
     level = (F.sum("source_size").over(everyone) - F.coalesce(F.sum("limit").over(earlier), F.lit(0.0))) / (
         F.sum("weight").over(everyone) - F.coalesce(F.sum("weight").over(earlier), F.lit(0.0))
     )
-    levels = ranked.withColumn("level", level)
-    final = F.min(F.when(F.col("level") * F.col("weight") <= F.col("limit"), F.col("level"))).over(everyone)
+    levels = ranked.withColumn("level", level).withColumn("place", F.row_number().over(order))
+    # The first source in that order that its level does not fill.
+    open_level = F.when(F.col("level") * F.col("weight") <= F.col("limit"), F.struct("place", "level"))
+    final = F.min(open_level).over(everyone)["level"]
     target = F.least(F.col("limit"), F.coalesce(final * F.col("weight"), F.col("limit")))
     return levels.withColumn("target", target).select("source", "rank", "source_size", "weight", "target")
 

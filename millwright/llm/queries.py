@@ -51,8 +51,8 @@ WITH all_rows AS (
 ), t AS (
   SELECT *,
     length(text) + (length(text) - length(replace(text, '\', '')))
-      + coalesce(list_sum(list_transform(regexp_extract_all(text, '#{3,}'), x -> length(x) - 2)), 0)
-      + coalesce(list_sum(list_transform(regexp_extract_all(text, ':{2,}'), x -> length(x) - 1)), 0)
+      + length(array_to_string(regexp_extract_all(text, '#{3,}'), '')) - 2 * len(regexp_extract_all(text, '#{3,}'))
+      + length(array_to_string(regexp_extract_all(text, ':{2,}'), '')) - len(regexp_extract_all(text, ':{2,}'))
       + (length(text) - length(replace(text, '</turn>', ''))) // 7 AS escaped,
     length(CASE role WHEN 'system' THEN '### System: ' WHEN 'user' THEN '### User: ' ELSE '### Assistant: ' END) + 9 AS around
   FROM all_rows
@@ -90,7 +90,7 @@ WITH d AS (
   SELECT *, (sum(source_size) OVER ()::DOUBLE - coalesce(sum(cap) OVER p, 0.0::DOUBLE)) / (sum(weight) OVER () - coalesce(sum(weight) OVER p, 0.0::DOUBLE)) AS level
   FROM w WINDOW p AS (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), t AS (
-  SELECT *, least(cap, coalesce(min(CASE WHEN level * weight <= cap THEN level END) OVER () * weight, cap)) AS target FROM l
+  SELECT *, least(cap, coalesce((SELECT level FROM l WHERE level * weight <= cap ORDER BY cap / weight, rank LIMIT 1) * weight, cap)) AS target FROM l
 ), b AS (
   SELECT d.*, source_size, target, round(target)::BIGINT AS quota,
     coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY o, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS earlier
