@@ -2,7 +2,7 @@
 
 Two generative models over hashed n-grams are estimated: one of target texts (a bounded sample of
 texts labelled good) and one of all raw texts. The log importance weight of a text is the sum of
-the log ratios of its n-grams. Gumbel noise is added and the rows with the largest sums are kept,
+the log ratios of its n-grams, tempered for long texts (their mean times a bounded number of draws). Gumbel noise is added and the rows with the largest sums are kept,
 which samples without replacement in proportion to the weights.
 
 N-grams are single tokens and pairs of tokens (runs of letters and digits in lower case, runs of
@@ -34,6 +34,8 @@ SHAPE_BITS = 12
 N_BUCKETS = (1 << WORD_BITS) + (1 << SHAPE_BITS)
 # Added to seen and expected counts, so that buckets with little evidence have a ratio near 1.
 SMOOTHING = 4.0
+# The n-grams of a text depend on each other: together they count as so many independent draws at most.
+DRAWS = 24
 _KIND = np.where(BARE, 1, np.where(WORD, 2, 0)).astype(np.uint8)
 _UPPER = np.zeros(256, bool)
 _UPPER[ord("A") : ord("Z") + 1] = True
@@ -148,7 +150,9 @@ def weighed(docs: DataFrame, ratios: np.ndarray, seed: int) -> DataFrame:
         for batch in batches:
             for i, j, data, offsets in text_slices(batch.column("text")):
                 owner, buckets = grams(data, offsets, hasher)
-                added = [pa.array(np.bincount(owner, minlength=j - i)), pa.array(np.bincount(owner, ratios[buckets], minlength=j - i))]
+                n = np.bincount(owner, minlength=j - i)
+                total = np.bincount(owner, ratios[buckets], minlength=j - i)
+                added = [pa.array(n), pa.array(total * (np.minimum(n, DRAWS) / np.maximum(n, 1)))]
                 own = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([*own.columns, *added], names=[*own.schema.names, "n_grams", "log_weight"])
 
@@ -162,8 +166,8 @@ def fitted(docs: DataFrame, labels: DataFrame, max_target_rows: int, seed: int)
 
     The target model is fitted on at most ``max_target_rows`` labelled good rows, taken in the order
     of a hash of the id; the raw model, the weights and the cut cover all rows. The number of
-    rows to keep is the expected number of good ones: the sum over all rows of the probability that
-    the weight and the good share of the labels give.
+    rows to keep is the number of rows that are likelier good than not, given their weight and
+    the good share of the labels.
     """
     usable = labels.select(_of("doc_id", "long"), _of("quality", "int")).where("doc_id is not null and quality is not null")
     # Remainder 2 of the id's checksum stays out of the fit, for held-out figures.
@@ -175,9 +179,7 @@ def fitted(docs: DataFrame, labels: DataFrame, max_target_rows: int, seed: int)
     prior = 0.0 if share is None else float(np.log((share + 1e-3) / (1 - share + 1e-3)))
     own = docs.select(_of("doc_id", "long"), _of("text", "string"))
     out = staged(weighed(own, ratios, seed).drop("text"), "weights")
-    odds = F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.col("log_weight") + F.lit(prior)))
-    expected = out.agg(F.sum(1 / (1 + F.exp(-odds)))).first()[0]
-    return ratios, out, cut_of(out, int(np.ceil(round(expected or 0, 6))))
+    return ratios, out, cut_of(out, out.where(F.col("log_weight") + F.lit(prior) > 0).count())
 
 
 def importance_resampling(docs: DataFrame, labels: DataFrame, max_target_rows: int = 20_000, seed: int = 7) -> DataFrame:
