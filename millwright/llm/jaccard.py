@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.shared import components, staged
+from millwright.llm.shared import components, marked, marks, staged
 from millwright.llm.words import FOLDED_VALUES, MULTIPLIERS, SpanHasher, find_words, mix, text_slices, window_hashes
 
 N = 5
@@ -139,6 +139,21 @@ def bit_lists(packed: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * width, width, dtype=np.int32)), pa.array(packed.reshape(-1)))
 
 
+def wide_bitmaps(tokens: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    """Bitmaps that grow with the set: the power of two from twice its size on; null where the common one is that wide."""
+    sizes = np.diff(bounds)
+    wide = np.flatnonzero(2 * sizes > BITS)
+    widths = np.zeros(len(sizes), np.int64)
+    widths[wide] = 1 << np.ceil(np.log2(2 * sizes[wide])).astype(np.int64)
+    starts = np.cumsum(widths) - widths
+    bits = np.zeros(int(widths.sum()), bool)
+    for d in wide:
+        bits[starts[d] + (tokens[bounds[d] : bounds[d + 1]] & np.uint64(widths[d] - 1)).astype(np.int64)] = True
+    longs = np.packbits(bits, bitorder="little").view(np.int64)
+    to = np.concatenate([[0], np.cumsum(widths // 64)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(to), pa.array(longs))
+
+
 class RarestFirst:
     """Picks the rarest tokens of sets: unlisted ones by hash, then listed ones by rising count."""
 
@@ -171,7 +186,7 @@ class RarestFirst:
         return flat, np.concatenate([[0], np.cumsum(size)]).astype(np.int32), n_rare
 
 
-FEATURES = "doc_id long, row long, set long, n long, bits array<long>, prefix array<long>, n_rare int"
+FEATURES = "doc_id long, row long, set long, n long, bits array<long>, wide array<long>, prefix array<long>, n_rare int"
 
 
 def features(rows: DataFrame, listed: np.ndarray, ranks: np.ndarray) -> DataFrame:
@@ -198,6 +213,7 @@ def features(rows: DataFrame, listed: np.ndarray, ranks: np.ndarray) -> DataFram
                         pa.array(set_ids(tokens, bounds).view(np.int64), mask=n == 0),
                         pa.array(n),
                         bit_lists(packed),
+                        wide_bitmaps(tokens, bounds),
                         pa.ListArray.from_arrays(pa.array(to), pa.array(flat.view(np.int64))),
                         pa.array(n_rare),
                     ],
@@ -242,32 +258,45 @@ def may_link(na: Column, nb: Column, overlap: Column) -> Column:
     return 9 * overlap >= 4 * (na + nb)
 
 
-def bitmap_overlap(a: Column, na: Column, b: Column, nb: Column) -> Column:
-    """Largest overlap two bitmaps allow: every bit of one that the other lacks is a token it lacks."""
+def _widest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two bitmaps at the width of the narrower: a token's bit is its hash modulo the width."""
+    while len(a) > len(b):
+        a = a[: len(a) // 2] | a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] | b[len(b) // 2 :]
+    return a, b
+
 
-    def only(x: Column, y: Column) -> Column:
-        return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda s, v: s + v)
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
 
-    return F.least(na - only(a, b), nb - only(b, a))
+
+def _by_bitmap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that bitmaps and sizes allow: every bit of one set that the other lacks is a token it lacks."""
+    for batch in batches:
+        na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+        keep = 9 * np.minimum(na, nb) >= 4 * (na + nb)
+        lists = {c: _lists(batch.column(c)) for c in ("ba", "bb", "wa", "wb")}
+        for k in np.flatnonzero(keep):
+            own = {c: values[at[k] : at[k + 1]] for c, (at, values) in lists.items()}
+            a, b = _widest(own["wa"] if len(own["wa"]) else own["ba"], own["wb"] if len(own["wb"]) else own["bb"])
+            overlap = min(na[k] - int(np.bitwise_count(a & ~b).sum()), nb[k] - int(np.bitwise_count(b & ~a).sum()))
+            keep[k] = 9 * overlap >= 4 * (na[k] + nb[k])
+        yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
     """Those of ``pairs(a, b)`` that link. Token sets are built again for the texts that need it."""
-    own = sets.select("set", "n", "bits")
-    left = own.select(F.col("set").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"))
-    right = own.select(F.col("set").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
-    pairs = pairs.join(left, "a").join(right, "b")
-    pairs = pairs.where(may_link(F.col("na"), F.col("nb"), F.least("na", "nb")))
-    pairs = pairs.where(may_link(F.col("na"), F.col("nb"), bitmap_overlap(F.col("ba"), F.col("na"), F.col("bb"), F.col("nb"))))
-    pairs = staged(pairs.select("a", "b", "na", "nb"), "candidates")
+    own = sets.select("set", "n", "bits", "wide")
+    pairs = pairs.join(own.toDF("a", "na", "ba", "wa"), "a").join(own.toDF("b", "nb", "bb", "wb"), "b")
+    pairs = staged(pairs.mapInArrow(_by_bitmap, "a long, b long"), "candidates")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-    ids = sets.join(needed, "set", "left_semi").select(F.col("key").alias("_key")).distinct()
-    key = F.coalesce(F.col("doc_id"), F.lit(NO_ID))
-    texts = rows.join(ids, key == F.col("_key"), "left_semi")
+    wanted = rows.sparkSession.sparkContext.broadcast(marks(sets.join(needed, "set", "left_semi").select("row"), "row"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = SpanHasher()
+        hasher, bits = SpanHasher(), wanted.value
         for batch in batches:
+            batch = batch.filter(pa.array(marked(bits, batch.column(2).to_numpy())))
             for _, _, data, offsets in text_slices(batch.column(1)):
                 tokens, bounds = token_sets(data, offsets, hasher)
                 yield pa.RecordBatch.from_arrays(
@@ -275,18 +304,16 @@ def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
                     names=["set", "tokens"],
                 )
 
-    tokens = staged(texts.mapInArrow(build, "set long, tokens array<long>"), "tokens")
-    left, right = tokens.withColumnsRenamed({"set": "a", "tokens": "ta"}), tokens.withColumnsRenamed({"set": "b", "tokens": "tb"})
-    both = pairs.join(left, "a").join(right, "b")
+    tokens = rows.mapInArrow(build, "set long, tokens array<long>")
+    tokens = staged(tokens.join(needed, "set", "left_semi").dropDuplicates(["set"]), "tokens")
+    both = pairs.join(tokens.toDF("a", "ta"), "a").join(tokens.toDF("b", "tb"), "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [batch.column(c) for c in ("ta", "tb")]
-            values = [x.values.to_numpy() for x in lists]
-            bounds = [x.offsets.to_numpy() for x in lists]
+            lists = [_lists(batch.column(c)) for c in ("ta", "tb")]
             keep = np.zeros(batch.num_rows, bool)
             for k in range(batch.num_rows):
-                x, y = (v[o[k] : o[k + 1]] for v, o in zip(values, bounds, strict=True))
+                x, y = (values[at[k] : at[k + 1]] for at, values in lists)
                 joined = np.sort(np.concatenate([x, y]))
                 common = int((joined[1:] == joined[:-1]).sum())
                 keep[k] = 9 * common >= 4 * (len(x) + len(y))

@@ -39,7 +39,7 @@ from millwright.llm.jaccard import (
     shards,
     token_sets,
 )
-from millwright.llm.shared import staged
+from millwright.llm.shared import marked, marks, staged
 from millwright.llm.words import SpanHasher, text_slices
 
 LINE_BITS = 256
@@ -111,18 +111,23 @@ def passes(na: Column, nb: Column, pa_: Column, pb: Column) -> Column:
 def matching(pairs: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
     """Those of ``pairs(a, b)`` whose sets have the similarity; sets are built again from the texts."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-    where = sets.join(needed, "set", "left_semi").select("row").distinct()
-    texts = rows.join(where, "row", "left_semi").select("text").where("text is not null")
+    shared = rows.sparkSession.sparkContext.broadcast(
+        (marks(sets.join(needed, "set", "left_semi").select("row").distinct(), "row"), marks(needed, "set"))
+    )
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHasher()
+        wanted_rows, wanted_sets = shared.value
         for batch in batches:
-            for _, _, data, offsets in text_slices(batch.column(0)):
+            batch = batch.filter(pa.array(marked(wanted_rows, batch.column(1).to_numpy())))
+            for _, _, data, offsets in text_slices(batch.column(2)):
                 tokens, bounds = token_sets(data, line_offsets(data, offsets), hasher)
+                ids = set_ids(tokens, bounds).view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(tokens.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(set_ids(tokens, bounds).view(np.int64)), lists], names=["set", "tokens"])
+                some = pa.array(marked(wanted_sets, ids) & (np.diff(bounds) > 0))
+                yield pa.RecordBatch.from_arrays([pa.array(ids), lists], names=["set", "tokens"]).filter(some)
 
-    tokens = texts.mapInArrow(build, "set long, tokens array<long>").join(needed, "set", "left_semi").dropDuplicates(["set"])
+    tokens = rows.mapInArrow(build, "set long, tokens array<long>").join(needed, "set", "left_semi").dropDuplicates(["set"])
     tokens = staged(tokens, "line-tokens")
     left, right = tokens.withColumnsRenamed({"set": "a", "tokens": "ta"}), tokens.withColumnsRenamed({"set": "b", "tokens": "tb"})
     both = pairs.join(left, "a").join(right, "b")
@@ -210,14 +215,14 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` without the removed lines, all columns; documents that lose every line with a word are left out."""
-    out = marked(docs)
+    out = lines_to_remove(docs)
     kept = F.filter("_lines", lambda _, i: ~F.array_contains("_gone", i))
     text = F.when(F.size("_gone") > 0, F.array_join(kept, "\n")).otherwise(F.col("text"))
     empty = (F.size("_gone") > 0) & (F.trim(F.translate(F.array_join(kept, " "), "\t\n\x0b\x0c\r", "     ")) == "")
     return out.where(~empty | F.col("text").isNull()).withColumn("text", text).select(*docs.columns)
 
 
-def marked(docs: DataFrame) -> DataFrame:
+def lines_to_remove(docs: DataFrame) -> DataFrame:
     """``docs`` with its lines (``_lines``) and the numbers of those to remove (``_gone``)."""
     gone = removed_lines(docs).withColumnsRenamed({"row": "_row", "lines": "_gone"})
     keyed = docs.withColumn("_key", row_key())
@@ -228,7 +233,7 @@ def marked(docs: DataFrame) -> DataFrame:
 
 def line_report(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_lines, n_removed, removed_lines)`` per row; line numbers count from 0."""
-    out = marked(docs)
+    out = lines_to_remove(docs)
     return out.select(
         F.col("doc_id").cast("long"),
         F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),

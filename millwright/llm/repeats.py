@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millwright.llm.shared import staged
+from millwright.llm.shared import marked, marks, staged
 from millwright.llm.words import SpanHasher, find_words, text_slices, window_hashes, windows_in_texts
 
 K, W, AFTER = 20, 24, 30
@@ -183,6 +183,13 @@ def repeated_spans(docs: DataFrame, min_words: int = 50) -> DataFrame:
     lines = staged(pairs.select("row_a", "row_b", (F.col("at_b") - F.col("at_a")).alias("shift")).distinct(), "diagonals")
     needed = lines.select(F.explode(F.array("row_a", "row_b")).alias("row")).distinct()
     rows = docs.select(row_key().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string")).where("text is not null")
+    wanted = docs.sparkSession.sparkContext.broadcast(marks(needed, "row"))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(marked(wanted.value, batch.column("row").to_numpy())))
+
+    rows = rows.mapInArrow(pick, rows.schema)
     texts = staged(rows.join(needed, "row", "left_semi").dropDuplicates(["row"]), "texts")
     a = texts.select(F.col("row").alias("row_a"), F.col("doc_id").alias("id_a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("row").alias("row_b"), F.col("doc_id").alias("id_b"), F.col("text").alias("text_b"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +14,33 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return materialised(df, f"llm-{name}")
 
 
+MAX_MARKS = 1 << 27
+
+
+def marks(keys: DataFrame, name: str) -> np.ndarray:
+    """A bit for each value of a column of 64-bit hashes; :func:`marked` tells which rows may be among them.
+
+    Saves shuffling rows that a join would drop. Sixteen bits for each key, at most :data:`MAX_MARKS` (16 MB),
+    whatever the number of keys: where more keys share the bits, more rows pass and the join decides.
+    """
+    n = keys.count()
+    size = min(MAX_MARKS, max(1 << 16, 1 << (16 * n).bit_length()))
+    at = F.pmod(F.col(name), F.lit(size))
+    parts = keys.groupBy(F.floor(at / 32768).cast("int").alias("part")).agg(F.bitmap_construct_agg(F.pmod(at, F.lit(32768))).alias("bits"))
+    out = np.zeros(size // 8, np.uint8)
+    for r in parts.toLocalIterator():  # parts of 4 KB, at most size / 32768 of them
+        out[r["part"] * 4096 : r["part"] * 4096 + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
+    return np.unpackbits(out, bitorder="little").astype(bool) if size <= 1 << 22 else out
+
+
+def marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether each 64-bit hash may be among the marked keys."""
+    if bits.dtype == bool:
+        return bits[hashes.astype(np.int64) & (len(bits) - 1)]
+    at = hashes.astype(np.int64) & (len(bits) * 8 - 1)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges(a, b)``: ``(node, component)``.
 
