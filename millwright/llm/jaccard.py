@@ -267,6 +267,12 @@ def _widest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a, b
 
 
+def bitmaps_allow(na: int, nb: int, a: np.ndarray, b: np.ndarray) -> bool:
+    a, b = _widest(a, b)
+    overlap = min(na - int(np.bitwise_count(a & ~b).sum()), nb - int(np.bitwise_count(b & ~a).sum()))
+    return 9 * overlap >= 4 * (na + nb)
+
+
 def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
 
@@ -279,9 +285,7 @@ def _by_bitmap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = {c: _lists(batch.column(c)) for c in ("ba", "bb", "wa", "wb")}
         for k in np.flatnonzero(keep):
             own = {c: values[at[k] : at[k + 1]] for c, (at, values) in lists.items()}
-            a, b = _widest(own["wa"] if len(own["wa"]) else own["ba"], own["wb"] if len(own["wb"]) else own["bb"])
-            overlap = min(na[k] - int(np.bitwise_count(a & ~b).sum()), nb[k] - int(np.bitwise_count(b & ~a).sum()))
-            keep[k] = 9 * overlap >= 4 * (na[k] + nb[k])
+            keep[k] = bitmaps_allow(na[k], nb[k], own["wa"] if len(own["wa"]) else own["ba"], own["wb"] if len(own["wb"]) else own["bb"])
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
@@ -381,7 +385,7 @@ class Forest:
                 stack.append((level - 1, ca[keep], cb[keep]))
 
 
-UNITS = "unit long, side_a int, side_b int, block int, set long, comp long, n long, bits array<long>, pivot boolean"
+UNITS = "unit long, side_a int, side_b int, block int, set long, comp long, n long, bits array<long>, wide array<long>, pivot boolean"
 
 
 def _tree_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -392,6 +396,8 @@ def _tree_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     get = {c: table.column(c).to_numpy() for c in ("unit", "side_a", "side_b", "block", "set", "comp", "n", "pivot")}
     bits = table.column("bits").combine_chunks()
     bits = (bits.chunk(0) if isinstance(bits, pa.ChunkedArray) else bits).flatten().to_numpy().reshape(table.num_rows, -1).view(np.uint64)
+    column = table.column("wide").combine_chunks()
+    to, wide = _lists(column.chunk(0) if isinstance(column, pa.ChunkedArray) else column)
     change = np.zeros(table.num_rows, bool)
     for c in ("unit", "side_a", "side_b"):
         change[1:] |= get[c][1:] != get[c][:-1]
@@ -399,7 +405,14 @@ def _tree_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for a, b in forest.pairs():
         # Of two blocks only pairs across; the pivot has been tried against all.
         good = ((get["side_a"][a] == get["side_b"][a]) | (get["block"][a] != get["block"][b])) & ~(get["pivot"][a] | get["pivot"][b])
-        x, y = get["set"][a[good]], get["set"][b[good]]
+        a, b = a[good], b[good]
+        # A pair that meets in several units is looked at once; wide bitmaps tell what the common ones, full for long texts, cannot.
+        _, once = np.unique(mix(get["set"][a].view(np.uint64)) + mix(get["set"][b].view(np.uint64)), return_index=True)
+        a, b = a[once], b[once]
+        keep = np.ones(len(a), bool)
+        for k in np.flatnonzero(2 * np.maximum(get["n"][a], get["n"][b]) > BITS):
+            keep[k] = bitmaps_allow(get["n"][a[k]], get["n"][b[k]], *(wide[to[i] : to[i + 1]] if to[i + 1] > to[i] else bits[i].view(np.int64) for i in (a[k], b[k])))
+        x, y = get["set"][a[keep]], get["set"][b[keep]]
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
 
@@ -415,13 +428,13 @@ def linked_sets(rows: DataFrame, sets: DataFrame) -> DataFrame:
     known = where.where("size > 2").join(first.withColumnRenamed("node", "set"), "set", "left").withColumn("comp", F.coalesce("component", "set"))
     known = known.select("shard", "set", "comp", "size", "pivot")
     open_shards = known.groupBy("shard").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("shard")
-    left = known.join(open_shards, "shard", "left_semi").join(sets.select("set", "n", "bits"), "set")
+    left = known.join(open_shards, "shard", "left_semi").join(sets.select("set", "n", "bits", "wide"), "set")
     n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     block = F.pmod(F.hash("set"), n_blocks).cast("int")
     left = left.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
     units = left.select(
         F.col("shard").alias("unit"), F.least("block", "other").cast("int").alias("side_a"), F.greatest("block", "other").cast("int").alias("side_b"),
-        "block", "set", "comp", F.col("n"), "bits", (F.col("set") == F.col("pivot")).alias("pivot"),
+        "block", "set", "comp", F.col("n"), "bits", "wide", (F.col("set") == F.col("pivot")).alias("pivot"),
     )
     more = units.repartition("unit", "side_a", "side_b").mapInArrow(_tree_join, "a long, b long").distinct()
     more = verified(staged(more, "tree-pairs"), sets, rows)
