@@ -268,7 +268,7 @@ def _widest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bitmaps_allow(na: int, nb: int, a: np.ndarray, b: np.ndarray) -> bool:
-    a, b = _widest(a, b)
+    a, b = (x.view(np.uint64) for x in _widest(a, b))  # counting bits of signed values would take their magnitude
     overlap = min(na - int(np.bitwise_count(a & ~b).sum()), nb - int(np.bitwise_count(b & ~a).sum()))
     return 9 * overlap >= 4 * (na + nb)
 
