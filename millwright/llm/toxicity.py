@@ -29,6 +29,7 @@ from millwright.llm.words import FOLD, FOLDED_VALUES, SpanHasher, find_words, mi
 WINDOW, STRIDE = 40, 32
 WORD_ROWS, CHAR_ROWS = 1 << 13, 1 << 14
 DIM, HIDDEN, ATTENTION = 12, 8, 8
+MIN_STEPS = 400
 _BEGIN, _END = 1, 2
 
 
@@ -204,7 +205,9 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 8, batch: int = 64,
     hasher, random = SpanHasher(), np.random.default_rng(seed)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in weights.items()}
     step = 0
-    n_steps = epochs * -(-len(texts) // batch)
+    per_epoch = -(-len(texts) // batch)
+    epochs = max(epochs, -(-MIN_STEPS // per_epoch))  # small samples are gone through more often
+    n_steps = epochs * per_epoch
     for _ in range(epochs):
         order = random.permutation(len(texts))
         for begin in range(0, len(order), batch):
