@@ -37,7 +37,8 @@ def coerced(c: Column, target: str) -> Column:
         number = F.when(~F.lower(F.trim(text)).isin("nan", "+nan", "-nan"), text)
         return number.try_cast(kind)
     if kind in ("tinyint", "smallint", "int", "bigint"):
-        return text.try_cast("double").try_cast(kind)
+        # By decimal for "12.0", "3.7" and "1e3"; never by double, which 64 bits do not fit.
+        return F.coalesce(text.try_cast(kind), text.try_cast("decimal(38,10)").try_cast(kind))
     return text.cast(kind)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,7 +60,8 @@ def merge_into(
     - ``with_action`` adds the action (``insert``, ``update``, ``missing``, ``delete``, NULL for
       untouched) and then also returns deleted rows.
 
-    Source keys must be unique (see :func:`unique_keys`); NULL keys never match.
+    Source keys must be unique (see :func:`unique_keys`); source rows with a NULL key never match,
+    need not be unique and are all inserted.
     """
     if update not in ("changed", "always") or missing not in ("keep", "delete", "update"):
         raise ValueError(f"unknown merge mode update={update!r} missing={missing!r}")
@@ -68,15 +71,20 @@ def merge_into(
     compared = list(compare) if compare is not None else shared
 
     # Cast before the key check, so the join can reuse its partitioning and order.
+    rows = source.select(
+        *[F.col(k).cast(types[k]).alias(k) for k in keys],
+        *[F.col(c).cast(types[c]).alias(f"_s_{c}") for c in shared],
+    )
+    keyless = reduce(or_, [F.col(k).isNull() for k in keys])
     s = unique_keys(
-        source.select(
-            *[F.col(k).cast(types[k]).alias(k) for k in keys],
-            *[F.col(c).cast(types[c]).alias(f"_s_{c}") for c in shared],
-        ),
+        rows.where(~keyless),
         keys,
     ).withColumn("_in_source", F.lit(True))
     t = target.withColumn("_in_target", F.lit(True))
-    both = t.join(s, keys, "full_outer")
+    # Rows with a NULL key match nothing: they go past the join, where they would meet in one task.
+    both = t.join(s, keys, "full_outer").unionByName(
+        rows.where(keyless).withColumn("_in_source", F.lit(True)), allowMissingColumns=True
+    )
 
     in_s, in_t = F.col("_in_source").isNotNull(), F.col("_in_target").isNotNull()
     changed = F.lit(True)

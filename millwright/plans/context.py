@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millwright.functions import codes
 from millwright.functions.clock import AsOf
-from millwright.functions.values import not_in
+from millwright.functions.values import not_in, same_text
 from millwright.operators.joins import join_dimension
 from millwright.operators.shifts import sector_schedules, with_shifts
 
@@ -41,13 +41,16 @@ class Period:
     as_of: AsOf
     excluded_sectors: Iterable[int] = field(default=codes.EXCLUDED_SECTORS)
     excluded_factories: Iterable[int] = field(default=codes.EXCLUDED_FACTORIES)
+    excluded_sectors_detail: Iterable[int] = field(default=codes.EXCLUDED_SECTORS_DETAIL)
 
 
-def included(sector: Column, factory: Column, period: Period) -> Column:
-    return not_in(sector, period.excluded_sectors) & not_in(factory, period.excluded_factories)
+def included(sector: Column, factory: Column, period: Period, detail: bool = False) -> Column:
+    """Whether a machine counts; the stop, cycle, performance and quality details have their own sector list."""
+    sectors = period.excluded_sectors_detail if detail else period.excluded_sectors
+    return not_in(sector, sectors) & not_in(factory, period.excluded_factories)
 
 
-def machine_context(floor: ShopFloor, period: Period, rule: str = "oee") -> DataFrame:
+def machine_context(floor: ShopFloor, period: Period, rule: str = "oee", detail: bool = False) -> DataFrame:
     """Machine -> name, sector, factory, first shift start and shift offsets.
 
     The chain machine/sector/factory/schedule is resolved once on the dimensions, so every
@@ -71,7 +74,7 @@ def machine_context(floor: ShopFloor, period: Period, rule: str = "oee") -> Data
             "id_setor",
         )
         .join(sectors, ["id_estabelecimento", "id_setor"])
-        .where(included(F.col("id_setor"), F.col("id_fabrica"), period))
+        .where(included(F.col("id_setor"), F.col("id_fabrica"), period, detail))
         .join(shifts, ["id_estabelecimento", "id_setor"], "left")
     )
 
@@ -87,4 +90,4 @@ def reasons_of(floor: ShopFloor, weight: str | None = None) -> DataFrame:
     reasons = floor.reasons.select(
         "id_estabelecimento", "codigo", F.col("descricao").alias("motivo"), "peso_oee", "id_familia"
     )
-    return reasons if weight is None else reasons.where(F.col("peso_oee") == weight)
+    return reasons if weight is None else reasons.where(same_text(F.col("peso_oee"), weight))

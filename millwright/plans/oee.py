@@ -429,7 +429,7 @@ def counts_for_day(start: Column, end: Column, shift: Column) -> Column:
 
 def stop_detail(floor: ShopFloor, period: Period) -> DataFrame:
     """Weighted stops cut at shifts: seconds and number of reasons over 20 keys."""
-    context = machine_context(floor, period, "stop_detail")
+    context = machine_context(floor, period, "stop_detail", detail=True)
     stops = period_stops(floor, period, codes.WEIGHTED, "motivo", "peso_oee", "id_familia")
     stops = on_machine(
         floor,
@@ -520,7 +520,7 @@ def _grouped(events: DataFrame, keys: dict[str, Column]):
 
 def cycle_detail(floor: ShopFloor, period: Period) -> DataFrame:
     """Average and total cycle figures per machine, product, day and shift."""
-    context = machine_context(floor, period)
+    context = machine_context(floor, period, detail=True)
     events = _event_day(floor, _cycle_events(floor), context, period, "nome_maquina")
     measures = {
         "ciclo_padrao": F.col("ciclo_ti"),
@@ -538,7 +538,7 @@ def cycle_detail(floor: ShopFloor, period: Period) -> DataFrame:
 
 def performance_loss_detail(floor: ShopFloor, period: Period) -> DataFrame:
     """Performance losses per machine, product, day, shift and reason."""
-    context = machine_context(floor, period)
+    context = machine_context(floor, period, detail=True)
     losses = floor.performance.where(
         F.col("data_hora").between(clock.ntz(period.start), clock.ntz(period.end))
     )
@@ -553,7 +553,7 @@ def performance_loss_detail(floor: ShopFloor, period: Period) -> DataFrame:
 
 def quality_loss_detail(floor: ShopFloor, period: Period) -> DataFrame:
     """Weighted quality losses per machine, product, day, shift and reason."""
-    context = machine_context(floor, period)
+    context = machine_context(floor, period, detail=True)
     events = _event_day(floor, floor.quality, context, period, "nome_maquina")
     events = _with_reason(events, floor, codes.WEIGHTED, "inner", "motivo")
     keys = _detail_keys("data_apontamento") | {

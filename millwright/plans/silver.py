@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millwright.functions import clock
 from millwright.functions.clock import AsOf
+from millwright.functions.values import same_text
 from millwright.operators.dedup import latest_per_key
 from millwright.operators.intervals import in_window, point_in_window, touches_range
 from millwright.operators.merge import merge_into, replace_window, soft_delete_merge
@@ -235,13 +236,13 @@ def listed_sync(
 
 def with_master_date(approvals: DataFrame) -> DataFrame:
     """Approved items without a master date take the engineering approval date."""
-    approved = F.when(F.col("status") == "Aprovado", F.col("dt_aprovacao_eng").cast("date"))
+    approved = F.when(same_text(F.col("status"), "Aprovado"), F.col("dt_aprovacao_eng").cast("date"))
     return approvals.withColumn("dt_fap", F.coalesce(F.col("dt_fap").cast("date"), approved))
 
 
 def gains_with_master_date(gains: DataFrame, approvals: DataFrame) -> DataFrame:
     """Gains without a master date take the approval date of their request, when approved."""
-    parent = approvals.where(F.col("status") == "Aprovado").select(
+    parent = approvals.where(same_text(F.col("status"), "Aprovado")).select(
         F.col("id").alias("id_solicitacao_assinatura"), F.col("dt_aprovacao_eng").cast("date").alias("_dt")
     )
     return (

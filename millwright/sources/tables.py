@@ -30,9 +30,16 @@ def stored(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` ended: its success marker is there, whatever else is."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
 def write_once(df: DataFrame, path: str) -> None:
-    """ZSTD Parquet, all or nothing; existing output is left alone."""
-    df.write.mode("ignore").option("compression", "zstd").parquet(path)
+    """ZSTD Parquet, all or nothing; finished output is left alone, what a killed job left is replaced."""
+    if not finished(df.sparkSession, path):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def read_union(spark: SparkSession, *paths: str) -> DataFrame:

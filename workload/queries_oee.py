@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +35,16 @@ def _oee(grain: str):
     return run
 
 
-def _plain(plan):
-    return lambda spark, sf_dir: plan(shop_floor(spark, sf_dir), PERIOD)
+def _plain(plan, period=PERIOD):
+    return lambda spark, sf_dir: plan(shop_floor(spark, sf_dir), period)
+
+
+# The details leave out fewer sectors than the OEE.
+OWN_SECTORS = replace(PERIOD, excluded_sectors_detail=(3,))
+
+
+def _own(detail: str) -> str:
+    return detail.replace("m.id_setor NOT IN (3, 7)", "m.id_setor NOT IN (3)")
 
 
 def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,4 +108,8 @@ QUERIES = {
     "cycle_detail": (_plain(oee.cycle_detail), sql.CYCLE_DETAIL),
     "performance_loss_detail": (_plain(oee.performance_loss_detail), sql.PERFORMANCE_DETAIL),
     "quality_loss_detail": (_plain(oee.quality_loss_detail), sql.QUALITY_DETAIL),
+    "stop_detail_own_sectors": (_plain(oee.stop_detail, OWN_SECTORS), _own(sql.STOP_DETAIL)),
+    "cycle_detail_own_sectors": (_plain(oee.cycle_detail, OWN_SECTORS), _own(sql.CYCLE_DETAIL)),
+    "performance_loss_detail_own_sectors": (_plain(oee.performance_loss_detail, OWN_SECTORS), _own(sql.PERFORMANCE_DETAIL)),
+    "quality_loss_detail_own_sectors": (_plain(oee.quality_loss_detail, OWN_SECTORS), _own(sql.QUALITY_DETAIL)),
 }

@@ -14,6 +14,7 @@ PERIOD = Period(
     as_of="2024-01-31 00:00:00",
     excluded_sectors=(3, 7),
     excluded_factories=(4,),
+    excluded_sectors_detail=(3, 7),
 )
 
 # event_type, code, description, weight, family id
