@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millwright.functions import clock
 from millwright.functions.clock import AsOf
-from millwright.operators.merge import ACTION
+from millwright.operators.merge import ACTION, Rule, merge_into
 from millwright.session import checkpoint_dir
 
 
+# Partition value of rows without a timestamp.
+NO_MONTH = "none"
+
+
 def month_of(ts: Column) -> Column:
     """Partition value of a fact row."""
-    return F.date_format(ts, "yyyy-MM")
+    return F.coalesce(F.date_format(ts, "yyyy-MM"), F.lit(NO_MONTH))
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame | None:
@@ -30,10 +36,27 @@ def stored(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def _located(spark: SparkSession, path: str):
+    """File system and path object of ``path``."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def finished(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` ended: its success marker is there, whatever else is."""
-    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+    fs, marker = _located(spark, f"{path}/_SUCCESS")
+    return fs.exists(marker)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in ``path``; none when it does not exist."""
+    fs, where = _located(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    fs, where = _located(spark, path)
+    fs.delete(where, True)
 
 
 def write_once(df: DataFrame, path: str) -> None:
@@ -91,68 +114,133 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_months(df: DataFrame, path: str, ts: str, partition: str = "ano_mes") -> None:
-    """Fact partitioned by month; only months present in ``df`` are replaced.
+# --- facts by month ----------------------------------------------------------------------
+#
+# <table>/load=<id>/ano_mes=<month>: data; a load is never touched after its job.
+# <table>/versions/<number>: one small file that names the load of each month, and the schema.
+#
+# A version counts once its write has ended, so a reader sees all of a change or nothing, and
+# a job killed half way leaves the table as it was. One writer at a time.
+
+
+def _current(spark: SparkSession, path: str) -> tuple[int, dict[str, str], StructType | None]:
+    """Number, load per month and schema of the newest finished version."""
+    numbers = [int(n) for n in names_in(spark, f"{path}/versions") if n.isdigit()]
+    done = [n for n in numbers if finished(spark, f"{path}/versions/{n}")]
+    if not done:
+        return 0, {}, None
+    # One row per month of the table.
+    rows = spark.read.schema("month string, load string, fields string").json(f"{path}/versions/{max(done)}").collect()
+    return max(done), {r.month: r.load for r in rows if r.month is not None}, StructType.fromJson(json.loads(rows[0].fields))
 
-    Rows are clustered by month and spread inside it, so a month is written by several tasks
-    and a busy one does not end up in a single file.
+
+def _publish(spark: SparkSession, path: str, number: int, loads: Mapping[str, str], schema: StructType) -> None:
+    fields = json.dumps(schema.jsonValue())
+    rows = [(month, load, fields) for month, load in sorted(loads.items())] or [(None, None, fields)]
+    version = spark.createDataFrame(rows, "month string, load string, fields string").coalesce(1)
+    version.write.mode("overwrite").json(f"{path}/versions/{number}")
+
+
+def _load(df: DataFrame, path: str, ts: str, partition: str) -> dict[str, str]:
+    """Writes ``df`` as a new load; returns the load of each month in it.
+
+    Rows are rebalanced by month: a large month is split over several tasks by size, a small
+    one is written by one.
     """
+    load = f"r{uuid.uuid4().hex}"
     (
-        df.withColumn(partition, month_of(F.col(ts)))
+        df.hint("rebalance", partition)
         .sortWithinPartitions(partition, ts)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
+        .write.option("compression", "zstd")
         .partitionBy(partition)
-        .parquet(path)
+        .parquet(f"{path}/load={load}")
     )
+    prefix = f"{partition}="
+    names = names_in(df.sparkSession, f"{path}/load={load}")
+    return {n.removeprefix(prefix): load for n in names if n.startswith(prefix)}
+
+
+def read_months(spark: SparkSession, path: str, months: Sequence[str] | None = None, partition: str = "ano_mes") -> DataFrame:
+    """The current version of a table by month, or only the named months of it."""
+    _, loads, schema = _current(spark, path)
+    if schema is None:
+        raise FileNotFoundError(f"no finished version of a table at {path}")
+    folders = [f"{path}/load={load}/{partition}={m}" for m, load in sorted(loads.items()) if months is None or m in months]
+    full = StructType(schema.fields).add(partition, "string")
+    if not folders:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", path).parquet(*folders).drop("load")
+
+
+def write_months(df: DataFrame, path: str, ts: str, partition: str = "ano_mes") -> None:
+    """Fact partitioned by month of ``ts``; only months present in ``df`` are replaced."""
+    spark = df.sparkSession
+    number, loads, schema = _current(spark, path)
+    written = _load(df.withColumn(partition, month_of(F.col(ts))), path, ts, partition)
+    _publish(spark, path, number + 1, loads | written, schema or df.schema)
 
 
 def merge_months(
     spark: SparkSession,
     path: str,
     source: DataFrame,
-    merge: Callable[[DataFrame, DataFrame], DataFrame],
+    keys: Sequence[str],
+    as_of: AsOf,
     ts: str,
-    extra_months: Column | None = None,
+    *,
+    window: Rule | None = None,
     partition: str = "ano_mes",
+    **merge,
 ) -> Mapping[str, int]:
-    """Merge ``source`` into the month-partitioned table at ``path``; returns action counts.
-
-    ``merge(target, source)`` gives the new state ``with_action=True``. Only months that hold
-    source rows or satisfy ``extra_months`` (a predicate on the partition column: the delete
-    window) are read, and only months in which a row changed are rewritten. The new
-    state is staged in the shared checkpoint folder first, so the table is never read while it
-    is replaced. A row must keep its month: ``ts`` may not move a key to another partition
-    outside the months that are read.
+    """Merge ``source`` into the table by month at ``path``; returns action counts.
+
+    ``merge`` is handed to :func:`merge_into`; ``window`` is its ``missing_where``. Read are only
+    the months that hold a source row, a row with a source key, or a row of the window; the
+    last two are found in a scan of the keys and of the window's columns alone. A row whose
+    ``ts`` moved leaves its old month and enters the new one; rows without ``ts`` have a month
+    of their own. Only months in which a row changed are written, as a new version.
     """
-    table = spark.read.parquet(path)
-    months = source.select(month_of(F.col(ts)).alias(partition)).distinct()
-    scope = table.select(partition).distinct()
-    affected = scope.join(months.withColumn("_s", F.lit(True)), partition, "left")
-    keep = F.col("_s").isNotNull()
-    if extra_months is not None:
-        keep = keep | extra_months
-    # One value per month of the table: a list of partition names, not data.
-    names = [r[0] for r in affected.where(keep).select(F.col(partition).cast("string")).collect()]
-    current = table.where(F.col(partition).cast("string").isin(names)).drop(partition)
-    state = merge(current, source).withColumn(partition, month_of(F.col(ts)))
-    stage = materialised(state, "merge")
-    counts = {
-        (r[partition], r[ACTION]): r["n"] for r in stage.groupBy(partition, ACTION).agg(F.count(F.lit(1)).alias("n")).collect()
-    }
-    changed = sorted({m for m, action in counts if action is not None})
-    alive = {m for m, action in counts if action != "delete"}
+    number, loads, schema = _current(spark, path)
+    table = read_months(spark, path, partition=partition)
+    types = dict(table.dtypes)
+    stage = f"{checkpoint_dir(spark)}/merge-{uuid.uuid4().hex}"
+    source.write.option("compression", "zstd").parquet(f"{stage}/source")
+    source = spark.read.schema(source.schema).parquet(f"{stage}/source")
+
+    own_keys = source.select(*[F.col(k).cast(types[k]).alias(k) for k in keys])
+    read = source.select(month_of(F.col(ts).cast(types[ts])).alias(partition))
+    read = read.unionAll(table.join(own_keys, list(keys), "left_semi").select(partition))
+    if merge.get("missing", "keep") != "keep":
+        read = read.unionAll((table if window is None else table.where(window(F.col))).select(partition))
+    # Names of months, not data.
+    months = [r[0] for r in read.distinct().collect()]
+
+    current = read_months(spark, path, months, partition).withColumnRenamed(partition, "_month")
+    state = merge_into(current, source, keys, as_of, missing_where=window, with_action=True, **merge)
+    state = state.withColumn(partition, month_of(F.col(ts)))
+    state.write.option("compression", "zstd").parquet(f"{stage}/state")
+    state = spark.read.schema(state.schema).parquet(f"{stage}/state")
+
+    counts = state.groupBy("_month", partition, ACTION).agg(F.count(F.lit(1)).alias("n")).collect()
+    changed = {m for r in counts if r[ACTION] is not None for m in (r["_month"], r[partition]) if m is not None}
     if changed:
-        rows = stage.where(F.col(partition).isin(changed) & F.coalesce(F.col(ACTION) != "delete", F.lit(True)))
-        write_months(rows.drop(ACTION, partition), path, ts, partition)
-        for month in changed:
-            if month not in alive:
-                empty = stage.limit(0).drop(ACTION, partition)
-                empty.write.mode("overwrite").parquet(f"{path}/{partition}={month}")
+        rows = state.where(F.col(partition).isin(sorted(changed)) & F.coalesce(F.col(ACTION) != "delete", F.lit(True)))
+        written = _load(rows.drop("_month", ACTION), path, ts, partition)
+        _publish(spark, path, number + 1, {m: x for m, x in loads.items() if m not in changed} | written, schema)
+    removed(spark, stage)
     totals: dict[str, int] = {}
-    for (_, action), n in counts.items():
-        totals[action or "unchanged"] = totals.get(action or "unchanged", 0) + n
+    for r in counts:
+        totals[r[ACTION] or "unchanged"] = totals.get(r[ACTION] or "unchanged", 0) + r["n"]
     return totals
 
 
+def drop_old_versions(spark: SparkSession, path: str) -> None:
+    """Removes versions before the current one and loads that it does not name."""
+    number, loads, _ = _current(spark, path)
+    for n in names_in(spark, f"{path}/versions"):
+        if n.isdigit() and int(n) < number:
+            removed(spark, f"{path}/versions/{n}")
+    used = {f"load={x}" for x in loads.values()}
+    for n in names_in(spark, path):
+        if n.startswith("load=") and n not in used:
+            removed(spark, f"{path}/{n}")

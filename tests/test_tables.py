@@ -64,6 +64,10 @@ def test_cycle_deletes_stay_inside_staged_machines(spark, ts):
     assert sorted((r.id_equipamento, r.ciclo_atual) for r in out.collect()) == [(1, 2.0), (2, 1.0)]
 
 
+def month_files(path, month):
+    return {f for f in path.glob(f"load=*/ano_mes={month}/*.parquet")}
+
+
 def test_merge_months_rewrites_only_changed_months(spark, ts, tmp_path):
     path = str(tmp_path / "fact")
     old = "2024-01-01 00:00:00"
@@ -71,15 +75,76 @@ def test_merge_months_rewrites_only_changed_months(spark, ts, tmp_path):
     tables.write_months(ts(rows, T), path, "t")
     source = ts([(3, "c", "2024-01-05 00:00:00"), (4, "D", "2024-01-06 00:00:00")], "k int, v string, t timestamp_ntz")
     limit = F.lit("2023-12-01").cast("timestamp_ntz")
+    before = month_files(tmp_path / "fact", "2023-11")
+    counts = tables.merge_months(spark, path, source, ["k"], NOW, "t", window=lambda c: c("t") >= limit, missing="delete")
+    assert counts == {"delete": 1, "unchanged": 1, "update": 1}
+    assert {r.k: (r.v, r.ano_mes) for r in tables.read_months(spark, path).collect()} == {1: ("a", "2023-11"), 3: ("c", "2024-01"), 4: ("D", "2024-01")}
+    assert month_files(tmp_path / "fact", "2023-11") == before
+    tables.drop_old_versions(spark, path)
+    assert {r.k for r in tables.read_months(spark, path).collect()} == {1, 3, 4}
+    assert len(list((tmp_path / "fact").glob("load=*"))) == 2
 
-    def merge(target, src):
-        return merge_into(target, src, ["k"], NOW, missing="delete", missing_where=lambda c: c("t") >= limit, with_action=True)
 
-    before = {f for f in (tmp_path / "fact" / "ano_mes=2023-11").iterdir()}
-    counts = tables.merge_months(spark, path, source, merge, "t", extra_months=F.col("ano_mes") >= "2023-12")
-    assert counts == {"delete": 1, "unchanged": 1, "update": 1}
-    assert {r.k: r.v for r in spark.read.parquet(path).collect()} == {1: "a", 3: "c", 4: "D"}
-    assert {f for f in (tmp_path / "fact" / "ano_mes=2023-11").iterdir()} == before
+S = "k int, v string, t timestamp_ntz"
+
+
+@pytest.fixture
+def fact(spark, ts, tmp_path):
+    path = str(tmp_path / "fact")
+    old = "2024-01-01 00:00:00"
+    tables.write_months(ts([(1, "a", "2023-11-05 00:00:00", old), (2, "b", "2023-12-05 00:00:00", old), (3, "c", None, old)], T), path, "t")
+    return path
+
+
+def months(spark, path):
+    return sorted(((r.k, r.v, r.ano_mes) for r in tables.read_months(spark, path).collect()), key=repr)
+
+
+def test_merge_months_follows_a_key_into_a_month_that_is_read(spark, ts, fact):
+    counts = tables.merge_months(spark, fact, ts([(1, "a", "2023-12-06 00:00:00"), (2, "b", "2023-12-05 00:00:00")], S), ["k"], NOW, "t")
+    assert counts == {"update": 1, "unchanged": 1}
+    assert months(spark, fact) == [(1, "a", "2023-12"), (2, "b", "2023-12"), (3, "c", "none")]
+
+
+def test_merge_months_follows_a_key_out_of_a_month_without_source_rows(spark, ts, fact):
+    assert tables.merge_months(spark, fact, ts([(1, "z", "2024-02-01 00:00:00")], S), ["k"], NOW, "t") == {"update": 1}
+    assert months(spark, fact) == [(1, "z", "2024-02"), (2, "b", "2023-12"), (3, "c", "none")]
+
+
+def test_merge_months_takes_rows_without_time_and_without_key(spark, ts, fact):
+    source = ts([(4, "d", None), (5, "e", "2024-01-05 00:00:00"), (None, "x", None), (None, "x", None), (3, "c", "2023-11-07 00:00:00")], S)
+    assert tables.merge_months(spark, fact, source, ["k"], NOW, "t") == {"insert": 4, "update": 1, "unchanged": 1}
+    want = [(1, "a", "2023-11"), (2, "b", "2023-12"), (3, "c", "2023-11"), (4, "d", "none"), (5, "e", "2024-01"), (None, "x", "none"), (None, "x", "none")]
+    assert months(spark, fact) == sorted(want, key=repr)
+
+
+def test_merge_months_writes_a_source_without_any_time(spark, ts, fact):
+    assert tables.merge_months(spark, fact, ts([(9, "n", None)], S), ["k"], NOW, "t") == {"insert": 1, "unchanged": 1}
+    assert (9, "n", "none") in months(spark, fact)
+
+
+def test_merge_months_failing_half_way_leaves_the_table(spark, ts, fact, monkeypatch):
+    before = months(spark, fact)
+    publish = tables._publish
+
+    def killed(*args):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(tables, "_publish", killed)
+    source = ts([(1, "z", "2024-02-01 00:00:00")], S)
+    with pytest.raises(RuntimeError):
+        tables.merge_months(spark, fact, source, ["k"], NOW, "t")
+    assert months(spark, fact) == before
+    monkeypatch.setattr(tables, "_publish", publish)
+    assert tables.merge_months(spark, fact, source, ["k"], NOW, "t") == {"update": 1}
+    assert (1, "z", "2024-02") in months(spark, fact)
+
+
+def test_months_deleted_to_the_last_row(spark, ts, fact):
+    assert tables.merge_months(spark, fact, ts([], S), ["k"], NOW, "t", missing="delete") == {"delete": 3}
+    assert months(spark, fact) == []
+    assert tables.merge_months(spark, fact, ts([(7, "n", "2024-01-01 00:00:00")], S), ["k"], NOW, "t") == {"insert": 1}
+    assert months(spark, fact) == [(7, "n", "2024-01")]
 
 
 def test_full_refresh_keeps_data_when_empty(spark, tmp_path):
