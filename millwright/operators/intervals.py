@@ -48,6 +48,7 @@ def intersect(
     right_span: tuple[str, str],
     bucket_seconds: int = clock.DAY,
     names: tuple[str, str] = ("ini_parada", "fim_parada"),
+    how: str = "inner",
 ) -> DataFrame:
     """Row-level intersections (inclusive ends) of two interval sets sharing ``on``.
 
@@ -55,7 +56,13 @@ def intersect(
     ``on + bucket``, so a busy key is spread over time instead of meeting all its rows at
     once; a pair is kept only in the first bucket both sides touch, which makes the result
     exact without a distinct. The intersection is clipped to the left interval.
+
+    With ``how="left"`` a left row that meets nothing stays, with NULL bounds; rows of one key
+    and span meet the same, so key and span tell which are left.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join type {how!r}")
+
     def bucketed(df: DataFrame, span: tuple[str, str], tag: str) -> DataFrame:
         lo = F.floor(clock.epoch_seconds(F.col(span[0])) / bucket_seconds)
         hi = F.floor(clock.epoch_seconds(F.col(span[1])) / bucket_seconds)
@@ -71,7 +78,7 @@ def intersect(
     l0, l1 = F.col(left_span[0]), F.col(left_span[1])
     ini, fim = clip(r0, r1, l0, l1)
     extra = [c for c in keep if c not in right_span and c not in left.columns]
-    return (
+    met = (
         bucketed(left, left_span, "l")
         .join(
             bucketed(renamed, (f"_r_{right_span[0]}", f"_r_{right_span[1]}"), "r"),
@@ -85,6 +92,11 @@ def intersect(
             fim.alias(names[1]),
         )
     )
+    if how == "inner":
+        return met
+    known = [*on, *left_span]
+    alone = left.join(met.select(*known).distinct(), known, "left_anti").select(*left.columns)
+    return met.unionByName(alone, allowMissingColumns=True)
 
 
 def covered_seconds(

@@ -222,12 +222,16 @@ def gains_fact(long: DataFrame) -> DataFrame:
 def realised(long: DataFrame) -> DataFrame:
     """Improvements done per bimester and proposer.
 
-    An item counts when its summed gain is not negative and it is no replication; the total
+    Month rows are summed under all their texts first, which needs no sort (a maximum of a text
+    does); the maxima are taken of what is left. An item counts when its summed gain is not negative and it is no replication; the total
     sums every item. Items are already unique after the first aggregation, so the distinct
     count is a plain conditional count.
     """
+    texts = ("nome_idealizador", "gerente_idealizador", "replicacao")
     per_item = (
         long.where(F.col("bimestre").isNotNull())
+        .groupBy("bimestre", "cracha_idealizador", "numero_fap", *texts)
+        .agg(F.sum("ganho_reais").alias("ganho_reais"))
         .groupBy("bimestre", "cracha_idealizador", "numero_fap")
         .agg(
             F.max("nome_idealizador").alias("nome_idealizador"),

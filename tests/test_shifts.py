@@ -153,3 +153,10 @@ def test_intersect_matches_pairs_across_buckets(spark, ts):
         (i, j, max(a0, b0), min(a1, b1)) for m, i, a0, a1 in left for k, j, b0, b1 in right if m == k and b0 <= a1 and b1 >= a0
     )
     assert sorted((r.i, r.j, str(r.c0), str(r.c1)) for r in got) == want
+    more = [(2, 99, str(F_EPOCH(90 * 86400)), str(F_EPOCH(91 * 86400))), (1, 98, None, str(F_EPOCH(9))), (1, 97, str(F_EPOCH(9)), str(F_EPOCH(3)))]
+    outer = intersect(
+        ts(left + more, schema.format("i", "a")), ts(right, schema.format("j", "b")), ["m"], ("a0", "a1"), ("b0", "b1"), names=("c0", "c1"), how="left"
+    ).collect()
+    assert sorted((r.i, r.j, str(r.c0), str(r.c1)) for r in outer if r.c0 is not None) == want
+    met = {i for i, *_ in want}
+    assert sorted((r.i, r.c1) for r in outer if r.c0 is None) == sorted((i, None) for _, i, _, _ in left + more if i not in met)

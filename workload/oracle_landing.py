@@ -68,3 +68,23 @@ PLANT_FILES = with_roles(
 )
 KEYED = "SELECT CAST(user_id % 10 AS INTEGER) AS id_equipamento, ts AS data_hora, value AS ciclo_atual FROM events WHERE user_id % 10 <> 0"
 CSV = "SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders"
+
+# The newest state of a key, whatever its month; rows without a key are inserted.
+MONTHS = """
+WITH tgt AS (
+  SELECT o_orderkey AS id, CASE WHEN o_orderkey % 13 <> 0 THEN o_orderdate END AS dia, o_totalprice AS valor FROM orders
+), src AS (
+  SELECT CASE WHEN o_orderkey % 10 < 2 THEN o_orderkey + 1000000000 WHEN o_orderkey % 17 <> 0 THEN o_orderkey END AS id,
+         CASE WHEN o_orderkey % 7 = 0 THEN o_orderdate + INTERVAL 40 DAY WHEN o_orderkey % 13 <> 1 THEN o_orderdate END AS dia,
+         o_totalprice + CASE WHEN o_orderkey % 11 = 0 THEN 1 ELSE 0 END AS valor
+  FROM orders
+), merged AS (
+  SELECT s.id, s.dia, s.valor,
+         CASE WHEN t.id IS NOT NULL AND t.dia IS NOT DISTINCT FROM s.dia AND t.valor IS NOT DISTINCT FROM s.valor
+              THEN TIMESTAMP '1995-01-01 00:00:00' ELSE TIMESTAMP '2001-09-01 00:00:00' END AS data_atualizacao_db
+  FROM src s LEFT JOIN tgt t ON t.id = s.id
+  UNION ALL
+  SELECT t.id, t.dia, t.valor, TIMESTAMP '1995-01-01 00:00:00' FROM tgt t
+  WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.id = t.id) AND NOT coalesce(t.dia >= TIMESTAMP '2000-01-01 00:00:00', false)
+)
+SELECT *, coalesce(strftime(dia, '%Y-%m'), 'none') AS ano_mes FROM merged"""

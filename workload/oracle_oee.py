@@ -208,6 +208,16 @@ SELECT id_estabelecimento, maquina_id, cod_produto, data_inicio, data_fim, pa AS
     **useful("oee"),
 )
 
+RUN_STOP_LEFT = with_roles(
+    """
+SELECT r.id_estabelecimento, r.maquina_id, r.cod_produto, r.data_inicio, r.data_fim,
+       CASE WHEN p.a IS NOT NULL THEN greatest(p.a, r.data_inicio) END AS ini_parada,
+       CASE WHEN p.b IS NOT NULL THEN least(p.b, r.data_fim) END AS fim_parada
+FROM mrun r LEFT JOIN planned p ON p.id_estabelecimento = r.id_estabelecimento AND p.maquina_id = r.maquina_id
+ AND p.a <= r.data_fim AND p.b >= r.data_inicio""",
+    **useful("oee"),
+)
+
 STOP_DETAIL = with_roles(
     f"""
 SELECT id_estabelecimento AS cod_estabelecimento, data_turno AS data_parada, maquina_id AS cod_maquina, nome AS des_nome_maquina,

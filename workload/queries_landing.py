@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.functions import codes
+from millwright.functions import clock, codes
 from millwright.functions.dates import DateFields, resolve_dates
 from millwright.functions.typing import typed
 from millwright.operators import quality
@@ -204,6 +204,28 @@ def csv_round_trip(s: SparkSession, d: str) -> DataFrame:
     return tables.read_csv(s, path, "o_orderkey bigint, o_orderstatus string, o_totalprice double, o_orderdate date")
 
 
+MONTHS_AS_OF = "2001-09-01 00:00:00"
+MONTHS_WINDOW = "2000-01-01 00:00:00"
+
+
+def months_merged(s: SparkSession, d: str) -> DataFrame:
+    """Orders by month, merged with rows that moved to other months, lost their time or have no key."""
+    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp_ntz")
+    orders, path = table(s, d, "orders"), _folder(s, "months")
+    stored = orders.select(
+        key.alias("id"), F.when(key % 13 != 0, day).alias("dia"), F.col("o_totalprice").alias("valor"), clock.ntz("1995-01-01 00:00:00").alias("data_atualizacao_db")
+    )
+    tables.write_months(stored, path, "dia")
+    source = orders.select(
+        F.when(key % 10 < 2, key + 1000000000).when(key % 17 != 0, key).alias("id"),
+        F.when(key % 7 == 0, F.timestamp_add("DAY", F.lit(40), day)).when(key % 13 != 1, day).alias("dia"),
+        (F.col("o_totalprice") + F.when(key % 11 == 0, 1).otherwise(0)).alias("valor"),
+    )
+    window = clock.ntz(MONTHS_WINDOW)
+    tables.merge_months(s, path, source, ["id"], MONTHS_AS_OF, "dia", window=lambda c: c("dia") >= window, missing="delete")
+    return tables.read_months(s, path)
+
+
 QUERIES = {
     "log_events": (log_events, sql.EVENTS),
     "log_skus": (log_skus, sql.SKUS),
@@ -220,4 +242,5 @@ QUERIES = {
     "plant_files_round_trip": (plants_round_trip, sql.PLANT_FILES),
     "keyed_folders_round_trip": (keyed_round_trip, sql.KEYED),
     "csv_round_trip": (csv_round_trip, sql.CSV),
+    "months_merged": (months_merged, sql.MONTHS),
 }

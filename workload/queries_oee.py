@@ -53,7 +53,7 @@ def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shift_grid(with_shifts(hours), PERIOD.start, PERIOD.end)
 
 
-def _run_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _run_stop(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
     floor = shop_floor(spark, sf_dir)
     runs = on_machine(floor, oee.valid_runs(floor, PERIOD), machine_context(floor, PERIOD))
     stops = oee.period_stops(floor, PERIOD, codes.UNWEIGHTED).select(
@@ -65,9 +65,14 @@ def _run_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["id_estabelecimento", "maquina_id"],
         ("data_inicio", "data_fim"),
         ("data_hora_inicio", "data_hora_fim"),
+        how=how,
     )
 
 
+def _run_stop_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_stop(spark, sf_dir, "left")
+
+
 def _balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(oee.cycle_balance(shop_floor(spark, sf_dir), PERIOD), "soma_ganho", "soma_perda", "saldo_tc")
 
@@ -103,6 +108,7 @@ QUERIES = {
     "cycle_balance_product_day": (_balance, sql.CYCLE_BALANCE),
     "shift_grid": (_grid, sql.SHIFT_GRID),
     "run_stop_intersections": (_run_stop, sql.RUN_STOP),
+    "run_stop_intersections_left": (_run_stop_left, sql.RUN_STOP_LEFT),
     "useful_time_detail": (_plain(oee.useful_time_detail), sql.USEFUL_DETAIL),
     "stop_detail": (_plain(oee.stop_detail), sql.STOP_DETAIL),
     "cycle_detail": (_plain(oee.cycle_detail), sql.CYCLE_DETAIL),
