@@ -117,11 +117,41 @@ def _streams(docs: DataFrame, weights: Sequence[int], cap: int) -> DataFrame:
     return rows.withColumn("_part", part).withColumn("taken", (F.col("_rounds") * F.col("size") + F.col("_part")).cast("long"))
 
 
-def mixture(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = 3) -> DataFrame:
-    """``(doc_id, size, source_size, target, taken)`` per row of ``docs(doc_id, text, source)``."""
+def _in_training_order(rows: DataFrame, schedules: Sequence[Sequence[float]]) -> DataFrame:
+    """Rows of :func:`_streams` once for each round that takes them, range-sorted by training time.
+
+    Adds ``round``, ``words_taken`` and ``train_time``. A row that no round takes stays once, with a null
+    round and time and 0 words.
+    """
+    n_rounds = (F.col("_rounds") + F.when(F.col("_part") > 0, 1).otherwise(0)).cast("int")
+    numbers = F.when(F.col("taken") > 0, F.sequence(F.lit(0), F.greatest(n_rounds - 1, F.lit(0))))
+    rows = rows.withColumn("round", F.explode_outer(numbers))
+    words = F.when(F.col("round") < F.col("_rounds"), F.col("size")).when(F.col("round").isNotNull(), F.col("_part")).otherwise(F.lit(0))
+    rows = rows.withColumn("words_taken", words.cast("long"))
+    middle = F.col("round") * F.col("source_size") + F.col("_before") + F.col("words_taken") / 2
+    share = F.least(F.lit(1.0), middle / F.nullif(F.col("_quota"), F.lit(0)))
+    when = F.when(F.col("round").isNotNull(), due_time(share, F.col("rank"), schedules))
+    order = ("train_time", "_order", "doc_id", "round")
+    return rows.withColumn("train_time", when).repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def mixture(
+    docs: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    cap: int = 3,
+    schedules: Sequence[Sequence[float]] = SCHEDULES,
+) -> DataFrame:
+    """``(doc_id, size, source_size, target, taken)`` per row of ``docs(doc_id, text, source)``.
+
+    The training order is dealt and written as in :func:`curriculum`; ``taken`` is the sum of its rounds.
+    """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), n_words(F.col("text")).alias("size"))
-    out = _streams(staged(rows, "mix-sizes"), weights, cap)
-    return out.select("doc_id", "size", "source_size", "target", "taken")
+    dealt = staged(_in_training_order(_streams(staged(rows, "mix-sizes"), weights, cap), schedules), "mix-order")
+    known = ("doc_id", "size", "source_size", "target")
+    # Words before it in its stream tell a text that is taken from all others of its source.
+    taken = dealt.where("round is not null").groupBy("source", "_before", *known).agg(F.sum("words_taken").alias("taken"))
+    left = dealt.where("round is null").select(*known, F.col("words_taken").alias("taken"))
+    return taken.select(*known, "taken").unionAll(left)
 
 
 def curriculum(
@@ -139,12 +169,5 @@ def curriculum(
     rows = docs.select(
         F.col("doc_id").cast("long"), F.col("source").cast("string"), n_words(F.col("text")).alias("size"), F.struct(*own).alias("_row")
     )
-    rows = _streams(rows, weights, cap)
-    n_rounds = (F.col("_rounds") + F.when(F.col("_part") > 0, 1).otherwise(0)).cast("int")
-    rows = rows.where("taken > 0").withColumn("round", F.explode(F.sequence(F.lit(0), n_rounds - 1)))
-    words = F.when(F.col("round") < F.col("_rounds"), F.col("size")).otherwise(F.col("_part")).cast("long")
-    rows = rows.withColumn("words_taken", words)
-    middle = F.col("round") * F.col("source_size") + F.col("_before") + F.col("words_taken") / 2
-    rows = rows.withColumn("train_time", due_time(F.least(F.lit(1.0), middle / F.col("_quota")), F.col("rank"), schedules))
-    order = ("train_time", "_order", "doc_id", "round")
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order).select("_row.*", "round", "words_taken", "train_time")
+    rows = _streams(rows, weights, cap).where("taken > 0")
+    return _in_training_order(rows, schedules).select("_row.*", "round", "words_taken", "train_time")

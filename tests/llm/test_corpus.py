@@ -184,6 +184,46 @@ def test_mixture_meets_targets(docs, texts):
     assert all(0 <= r["train_time"] <= 1 for r in order)
 
 
+def test_mixture_is_the_sum_of_its_dealt_rounds(docs, texts, monkeypatch):
+    rows, keep = [], mixing.staged
+
+    def watched(df, name):
+        out = keep(df, name)
+        if name == "mix-order":
+            rows.extend(out.collect())
+        return out
+
+    monkeypatch.setattr(mixing, "staged", watched)
+    got = {r["doc_id"]: r["taken"] for r in mixing.mixture(docs).collect()}
+    sources = ["a", "b", None, "a"]
+    size = {k: len(WORD.findall(t or "")) for k, t in enumerate(texts)}
+    stream = sorted(size, key=lambda k: (hashlib.md5(str(k).encode()).hexdigest(), k))
+    quota = {r["source"]: round(r["target"]) for r in rows}
+    want, taken = {}, dict.fromkeys(size, 0)
+    for rank, source in enumerate(("a", "b", None)):
+        own, at, number = [k for k in stream if sources[k % 4] == source], 0, 0
+        knots = mixing.SCHEDULES[rank]
+        while at < quota[source]:
+            for k in own:
+                words = min(size[k], quota[source] - at)
+                if words > 0:
+                    share, low, high = (at + words / 2) / quota[source], 0.0, 1.0
+                    for _ in range(60):  # bisection of the integral
+                        t = (low + high) / 2
+                        x, y = min(t, 0.5), max(t - 0.5, 0.0)
+                        area = knots[0] * x + (knots[1] - knots[0]) * x * x + knots[1] * y + (knots[2] - knots[1]) * y * y
+                        low, high = (t, high) if area < share * ((knots[0] + knots[2]) / 4 + knots[1] / 2) else (low, t)
+                    want[k, number] = (words, low)
+                    taken[k] += words
+                    at += words
+            number += 1
+    assert got == taken
+    dealt = {(r["doc_id"], r["round"]): (r["words_taken"], r["train_time"]) for r in rows if r["round"] is not None}
+    assert set(dealt) == set(want)
+    assert all(dealt[x][0] == want[x][0] and dealt[x][1] == pytest.approx(want[x][1], abs=1e-9) for x in want)
+    assert sorted(r["doc_id"] for r in rows if r["round"] is None) == [k for k in sorted(taken) if taken[k] == 0]
+
+
 def test_due_time_inverts_the_schedule(spark):
     from pyspark.sql import functions as F
 
