@@ -1,13 +1,14 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-A mask of twelve word positions ignores some of them, so a passage still hits where a word was
-replaced. The hashes of all masks over every position of a text are looked up in those of the
+A mask marks some of the words of a window and ignores the others, so a passage still hits where a word
+was replaced. The masks are chosen so that whichever words an accepted window may have replaced, one of
+them fits between these somewhere (:func:`masks`): nothing that verification accepts is missed. The hashes of all masks over every position of a text are looked up in those of the
 benchmark; around each hit the two word sequences are laid on each other and compared word by word.
 A pair counts when some ``window`` aligned words (or the whole item, if shorter) agree in at least
 ``min_equal`` of their places.
 
 Words are runs of ASCII letters, digits and non-ASCII characters, A-Z in lower case. Items shorter
-than a mask are searched as a whole by the hash of all their words; items below ``min_item_words``
+than the window have masks of their own for their length; items below ``min_item_words``
 words, null and empty items are not searched. Null and empty texts match nothing. Repeated rows
 give repeated results; null ids stay null; an empty table or benchmark gives no rows.
 """
@@ -15,6 +16,9 @@ give repeated results; null ids stay null; an empty table or benchmark gives no
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -23,17 +27,48 @@ from pyspark.sql import functions as F
 
 from millwright.llm.words import BARE, FOLDED_VALUES, MULTIPLIERS, SpanHasher, find_words, mix, text_slices
 
-SPAN = 12
-# Any two replaced words in fourteen leave at least one of these untouched somewhere.
-MASKS = ("111011011101", "110110111011", "101111010111", "111100111100", "110011110011")
+MOST = 6
+# Larger covers are not searched for.
+LONGEST, PLACEMENTS = 14, 500
 LOW = np.uint64(0xFFFF)
 SCHEMA = "doc_id long, item_id long, start_word long, n_words long, n_equal long"
 
 
+def least_equal(size: int, min_equal: float) -> int:
+    """Equal words that ``size`` aligned words need."""
+    return int(np.ceil(min_equal * size))
+
+
+@cache
+def masks(size: int, replaced: int) -> tuple[str, ...]:
+    """Masks of which one, at some shift, avoids any ``replaced`` of ``size`` words.
+
+    The heaviest weight for which a greedy cover of all placements has at most ``MOST`` masks. Where there are
+    too many placements to list: the run of words that must be left between the replaced ones.
+    """
+    if replaced <= 0 or size > LONGEST or comb(size, replaced) > PLACEMENTS:
+        return ("1" * min(len(MULTIPLIERS), max(1, -(-(size - replaced) // (replaced + 1)))),)
+    lost = [sum(1 << p for p in places) for places in combinations(range(size), replaced)]
+    for weight in range(size - replaced, 1, -1):
+        covers = {}
+        for marks in ((0, *rest) for rest in combinations(range(1, size), weight - 1)):
+            own = sum(1 << p for p in marks)
+            shifts = range(size - marks[-1])
+            covers[marks] = sum(1 << i for i, gone in enumerate(lost) if any(not (own << s) & gone for s in shifts))
+        open_, chosen = (1 << len(lost)) - 1, []
+        while open_ and len(chosen) < MOST:
+            best = max(covers, key=lambda m: (covers[m] & open_).bit_count())
+            chosen.append("".join("01"[p in best] for p in range(best[-1] + 1)))
+            open_ &= ~covers[best]
+        if not open_:
+            return tuple(chosen)
+    return ("1",)
+
+
 class Benchmark:
     """Hashes of one block of benchmark items, sorted for look-up."""
 
-    def __init__(self, item_ids: list[int], texts: list[str], min_item_words: int) -> None:
+    def __init__(self, item_ids: list[int], texts: list[str], min_item_words: int, window: int = 13, min_equal: float = 0.8) -> None:
         column = pa.array(texts, pa.large_string())
         hasher, parts, self.ids = SpanHasher(), [], []
         for i, j, data, offsets in text_slices(column):
@@ -48,7 +83,8 @@ class Benchmark:
         self.tables = {}
         by_pattern: dict[str, list[tuple[np.ndarray, int]]] = {}
         for item, own in enumerate(parts):
-            for pattern in MASKS if len(own) >= SPAN else ("1" * len(own),):
+            size = min(window, len(own))
+            for pattern in masks(size, size - least_equal(size, min_equal)):
                 by_pattern.setdefault(pattern, []).append((spaced(own, pattern), item))
         for pattern, found in by_pattern.items():
             hashes = np.concatenate([h for h, _ in found])
@@ -99,7 +135,7 @@ def matches(words: np.ndarray, first: np.ndarray, bench: Benchmark, window: int,
         if len(equal) < size:
             continue
         running = np.concatenate([[0], np.cumsum(equal)])
-        good = np.flatnonzero(running[size:] - running[:-size] >= np.ceil(min_equal * size))
+        good = np.flatnonzero(running[size:] - running[:-size] >= least_equal(size, min_equal))
         if len(good) == 0:
             continue
         begin, end = good[0], good[-1] + size
@@ -108,7 +144,7 @@ def matches(words: np.ndarray, first: np.ndarray, bench: Benchmark, window: int,
     return [(text, k, -start, n, equal) for (text, k), (equal, start, n) in sorted(best.items())]
 
 
-def blocks(benchmark: DataFrame, min_item_words: int, max_words: int) -> Iterator[Benchmark]:
+def blocks(benchmark: DataFrame, min_item_words: int, max_words: int, window: int, min_equal: float) -> Iterator[Benchmark]:
     """The benchmark in parts of about ``max_words`` words, so that what is sent to the tasks is bounded."""
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null")
     size = F.size(F.split("text", r"\s+"))
@@ -116,7 +152,7 @@ def blocks(benchmark: DataFrame, min_item_words: int, max_words: int) -> Iterato
     n = -(-total // max_words)
     for part in range(n):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == part).orderBy("item_id", "text").toPandas()
-        yield Benchmark(block["item_id"].astype(object).where(block["item_id"].notna(), None).tolist(), block["text"].tolist(), min_item_words)
+        yield Benchmark(block["item_id"].astype(object).where(block["item_id"].notna(), None).tolist(), block["text"].tolist(), min_item_words, window, min_equal)
 
 
 def contaminations(
@@ -135,7 +171,7 @@ def contaminations(
     """
     out = None
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    for bench in blocks(benchmark, min_item_words, max_words):
+    for bench in blocks(benchmark, min_item_words, max_words, window, min_equal):
 
         def search(batches: Iterator[pa.RecordBatch], bench=bench) -> Iterator[pa.RecordBatch]:
             hasher = SpanHasher()
@@ -162,7 +198,7 @@ def decontaminated(
     max_words: int = 2_000_000,
 ) -> DataFrame:
     """The rows of ``docs`` that overlap no item, all columns; the verdict is per row, without a join."""
-    for bench in blocks(benchmark, min_item_words, max_words):
+    for bench in blocks(benchmark, min_item_words, max_words, window, min_equal):
 
         def keep(batches: Iterator[pa.RecordBatch], bench=bench) -> Iterator[pa.RecordBatch]:
             hasher = SpanHasher()

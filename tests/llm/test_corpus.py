@@ -164,6 +164,27 @@ def test_contaminations_tolerate_replaced_words(spark):
     assert decontaminate.contaminations(docs, bench.limit(0)).count() == 0 and decontaminate.decontaminated(docs, bench.limit(0)).count() == 10
 
 
+@pytest.mark.parametrize("length", [*range(5, 21), 26])
+def test_every_accepted_placement_is_found(length):
+    import numpy as np
+
+    bench = decontaminate.Benchmark([1], [" ".join(f"w{k}" for k in range(length))], 5)
+    own, size = bench.words[0], min(13, length)
+    copies, want = [], []
+    cases = [(p, 0, length) for n in range(4) for p in combinations(range(length), n)] if length <= 20 else []
+    # Texts that hold only a window of a longer item.
+    cases += [(p, at, at + size) for at in range(length - size + 1) for n in range(4) for p in combinations(range(at, at + size), n)]
+    for places, low, high in cases:
+        words = own.copy()
+        words[list(places)] = 3
+        kept = [k not in places for k in range(low, high)]
+        want.append(any(10 * sum(kept[i : i + size]) >= 8 * size for i in range(high - low - size + 1)))
+        copies.append(words[low:high])
+    first = np.cumsum([0, *map(len, copies)])
+    found = {t for t, *_ in decontaminate.matches(np.concatenate(copies), first, bench, 13, 0.8)}
+    assert found == {t for t, accepted in enumerate(want) if accepted}
+
+
 def test_mixture_meets_targets(docs, texts):
     rows = mixing.mixture(docs).collect()
     size = {k: len(WORD.findall(t or "")) for k, t in enumerate(texts)}
