@@ -163,10 +163,13 @@ def _extend(min_words: int):
                 change = np.diff(equal)
                 starts, ends = np.flatnonzero(change == 1) + low, np.flatnonzero(change == -1) + low
                 own = r["row_a"] == r["row_b"]
+                # A text equal to itself at this shift is so at its multiples; the first without overlap counts.
+                more = (-(-min_words // abs(shift)) - 1) * shift if own else 0
                 for s, e in zip(starts, ends, strict=True):
-                    if e - s >= min_words and not (own and abs(shift) < e - s):
+                    s, e = (s, e - more) if more >= 0 else (s - more, e)
+                    if e - s >= min_words:
                         out.append((r["row_a"], r["id_a"], s, e, r["id_b"], own))
-                        out.append((r["row_b"], r["id_b"], s + shift, e + shift, r["id_a"], own))
+                        out.append((r["row_b"], r["id_b"], s + shift + more, e + shift + more, r["id_a"], own))
             columns = list(zip(*out, strict=True)) or [[]] * 6
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in SPANS.split(", ")])

@@ -164,6 +164,26 @@ def test_contaminations_tolerate_replaced_words(spark):
     assert decontaminate.contaminations(docs, bench.limit(0)).count() == 0 and decontaminate.decontaminated(docs, bench.limit(0)).count() == 10
 
 
+def test_copies_in_a_row_are_those_of_all_windows(spark):
+    r = random.Random(6)
+
+    def prose(n):
+        return [f"w{r.randrange(10**9)}" for _ in range(n)]
+
+    every = [prose(10) + prose(n) * copies + prose(10) for n in (20, 50, 60, 100) for copies in range(2, 9)]
+    want = {}
+    for k, w in enumerate(every):
+        places = defaultdict(list)
+        for i in range(len(w) - 49):
+            places[tuple(w[i : i + 50])].append(i)
+        cover = {i + j for p in places.values() for i in p if i - p[0] >= 50 or p[-1] - i >= 50 for j in range(50)}
+        if cover:
+            want[k] = cover
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(every)], "doc_id long, text string")
+    got = {x["doc_id"]: {i for s in x["spans"] for i in range(s["start"], s["end"])} for x in repeats.repeats(docs).collect()}
+    assert got == want
+
+
 @pytest.mark.parametrize("length", [*range(5, 21), 26])
 def test_every_accepted_placement_is_found(length):
     import numpy as np
