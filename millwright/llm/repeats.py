@@ -1,19 +1,18 @@
-"""Repeated passages by a sparse suffix array.
-
-Of all suffixes (counted in words) only those at minimiser positions are kept: places whose k-gram
-hash is the smallest of some window of neighbouring k-grams. The choice depends on content alone, so
-equal passages of at least ``K + W - 1`` words keep a suffix at the same place. The suffixes
-are range-sorted over all tasks by the hash of their first ``K`` words, then by that of the words after
-these, so that equal beginnings are neighbours; neighbours across the border of two tasks are joined by
-the border rows. Neighbours with equal k-grams are laid on each other and the match is
-extended word by word to the left and to the right. A group of m copies gives m - 1 pairs, however large it is.
-
-A passage is a match of at least ``min_words`` words (at least ``K + W - 1``) in two texts, or at two
-places of one text that do not overlap. Every text that shares a passage with another one has a
-neighbour for each kept suffix in it; in a group of three or more that share parts of different
-length, a text is compared with the two nearest in sort order only.
-
-Rows: null and empty texts, and texts below ``K`` words, have no passages. A row is known by its id and
+"""Repeated passages by sorting the windows of ``min_words`` words around repeated minimisers.
+
+A passage is a run of at least ``min_words`` words (at least ``K``) that stands in two texts, or at two places
+of one text that do not overlap. Each such run is covered by windows of just ``min_words`` words, so what is
+repeated is known from the windows alone. Most windows need not be looked at: the smallest k-gram hash in a
+window (its minimiser) depends on content alone, so equal windows have equal minimisers. Hashes of minimisers
+are counted first, and only windows whose minimiser stands at two places go on.
+
+The windows left are range-sorted over all tasks by hash, id and row, so equal ones are neighbours, and a
+window in many texts is spread over tasks; neighbours across the border of two tasks are joined by the border
+rows. A group of m equal windows gives m rows, however large it is, and its first text is the one with the
+smallest id. Windows that follow each other are joined to passages. Nothing is left to which neighbours a
+text happens to have: the result is that of comparing all windows (by 64-bit hashes).
+
+Rows: null and empty texts, and texts below ``min_words`` words, have no passages. A row is known by its id and
 text: rows equal in both are one text. Null ids are kept as null; an empty table gives no rows; other
 columns pass through :func:`without_repeats` and are ignored elsewhere.
 """
@@ -28,10 +27,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millwright.llm.shared import marked, marks, staged
-from millwright.llm.words import SpanHasher, find_words, text_slices, window_hashes, windows_in_texts
+from millwright.llm.words import BASE, SpanHasher, find_words, mix, text_slices, window_hashes, windows_in_texts
 
-K, W, AFTER = 20, 24, 30
-NONE = np.uint64(2**64 - 1)
+K = 20
 
 
 def sliding(values: np.ndarray, size: int, pick) -> np.ndarray:
@@ -44,159 +42,181 @@ def sliding(values: np.ndarray, size: int, pick) -> np.ndarray:
     return pick(out[:-rest], out[rest:]) if rest else out
 
 
-def minimisers(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word positions of the kept suffixes of all texts, and their k-gram hashes."""
+def minimisers(hashes: np.ndarray, first: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of all windows of ``min_words`` words, the smallest k-gram hash in each, and all k-gram hashes."""
     grams = window_hashes(hashes, K)
-    if len(grams) == 0:
-        return np.zeros(0, np.int64), grams
-    grams = np.where(windows_in_texts(first, K), grams, NONE)
-    edge = np.full(W - 1, NONE)
-    least = sliding(np.concatenate([edge, grams, edge]), W, np.minimum)
-    chosen = (sliding(least, W, np.maximum) == grams) & (grams != NONE)
-    at = np.flatnonzero(chosen)
-    return at, grams[at]
+    starts = np.flatnonzero(windows_in_texts(first, min_words))
+    if len(starts) == 0:
+        return starts, np.zeros(0, np.uint64), grams
+    return starts, sliding(grams, min_words - K + 1, np.minimum)[starts], grams
 
 
 def row_key() -> Column:
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher = SpanHasher()
-    for batch in batches:
-        for i, _, data, offsets in text_slices(batch.column(2)):
-            found = find_words(data, offsets)
-            hashes = hasher(data, found.starts, found.ends)
-            at, grams = minimisers(hashes, found.first)
-            owner = found.owner()[at] if len(at) else at
-            # Hash of the words after the k-gram, as many as there are.
-            padded = np.concatenate([hashes, np.zeros(AFTER, np.uint64)])
-            room = found.first[1:][owner] - at - K
-            after = np.zeros(len(at), np.uint64)
-            factor = np.uint64(0x9E3779B97F4A7C15)
-            for j in range(AFTER):
-                after = after * factor + np.where(j < room, padded[np.minimum(at + K + j, len(padded) - 1)], np.uint64(j))
-            rows = pa.array(i + owner)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(grams.view(np.int64)), pa.array(after.view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows), pa.array((at - found.first[owner]).astype(np.int32))],
-                names=["gram", "after", "doc_id", "row", "at"],
-            )
-
-
-SUFFIX = "gram long, after long, doc_id long, row long, at int"
-PAIR = "row_a long, at_a int, row_b long, at_b int"
-SEEN = f"kind int, task int, {SUFFIX}, {PAIR}"
+def _grams(min_words: int):
+    """Hashes of the places that are minimiser of some window, a place once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = SpanHasher()
+        for batch in batches:
+            for _, _, data, offsets in text_slices(batch.column(2)):
+                found = find_words(data, offsets)
+                starts, least, grams = minimisers(hasher(data, found.starts, found.ends), found.first, min_words)
+                if len(starts) == 0:
+                    continue
+                size = min_words - K + 1
+                of = np.zeros(len(grams) - size + 1, np.uint64)
+                of[starts] = least
+                # A place counts when it holds the smallest hash of one of the windows around it.
+                edge = np.zeros(size - 1, np.uint64)
+                chosen = sliding(np.concatenate([edge, of, edge]), size, np.maximum) == grams
+                yield pa.RecordBatch.from_arrays([pa.array(grams[chosen].view(np.int64))], names=["gram"])
+
+    return run
+
+
+WINDOW = "hash long, doc_id long, row long, start int, more array<int>"
+
+
+def _windows(min_words: int, wanted):
+    """Windows with a wanted minimiser: one row for each text and content; ``more`` has its further places in the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = SpanHasher()
+        for batch in batches:
+            for i, _, data, offsets in text_slices(batch.column(2)):
+                found = find_words(data, offsets)
+                starts, least, grams = minimisers(hasher(data, found.starts, found.ends), found.first, min_words)
+                starts = starts[marked(wanted.value, least.view(np.int64))] if len(starts) else starts
+                if len(starts) == 0:
+                    continue
+                whole = np.zeros(len(starts), np.uint64)
+                for at in [*range(0, min_words - K, K), min_words - K]:
+                    whole = mix(whole * np.uint64(BASE) + grams[starts + at])
+                owner = found.owner()[starts]
+                order = np.lexsort((starts, whole, owner))
+                starts, whole, owner = starts[order], whole[order], owner[order]
+                new = np.concatenate([[True], (whole[1:] != whole[:-1]) | (owner[1:] != owner[:-1])])
+                head, local = np.flatnonzero(new), (starts - found.first[owner]).astype(np.int32)
+                further = np.concatenate([[0], np.cumsum(np.diff(np.append(head, len(starts))) - 1)]).astype(np.int32)
+                rows = pa.array(i + owner[head])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(whole[head].view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(local[head]), pa.ListArray.from_arrays(pa.array(further), pa.array(local[~new]))],
+                    names=[x.split()[0] for x in WINDOW.split(", ")],
+                )
+
+    return run
+
+
+SEEN = f"kind int, task int, {WINDOW}, other_id long, earlier boolean"
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adjacent suffixes with equal k-grams (kind 0); first and last row of the task (kinds 1 and 2)."""
+    """Windows that another text holds (kind 0); first and last row of the task (kinds 1 and 2).
+
+    Each names the text before it in its group, and the first of a group the one after it.
+    """
     from pyspark import TaskContext
 
     context = TaskContext.get()
     task = context.partitionId() if context is not None else 0
     names = [x.split()[0] for x in SEEN.split(", ")]
-    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
 
-    def out(kind: int, n: int, suffix: dict | None = None, pair: tuple | None = None) -> pa.RecordBatch:
-        columns = [np.full(n, kind), np.full(n, task)]
-        columns += [[suffix[c]] for c in ("gram", "after", "doc_id", "row", "at")] if suffix else [[None] * n] * 5
-        columns += list(pair) if pair else [[None] * n] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+    def out(kind: int, rows: pa.RecordBatch, other: pa.Array, earlier: bool) -> pa.RecordBatch:
+        n = rows.num_rows
+        columns = [pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, task, np.int32)), *rows.columns, other, pa.array(np.full(n, earlier))]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
-    last = None
+    nobody = pa.array([None], pa.int64())
+    last, heads = None, True
     for batch in batches:
         if batch.num_rows == 0:
             continue
         if last is None:
-            yield out(1, 1, batch.slice(0, 1).to_pylist()[0])
+            yield out(1, batch.slice(0, 1), nobody, False)
         else:
-            batch = pa.concat_batches([last, batch]) if hasattr(pa, "concat_batches") else pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
-        gram, row, at = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("gram", "row", "at"))
-        same = np.flatnonzero((gram[1:] == gram[:-1]) & ((row[1:] != row[:-1]) | (at[1:] != at[:-1])))
-        if len(same):
-            yield out(0, len(same), pair=(row[same], at[same], row[same + 1], at[same + 1]))
-        last = batch.slice(batch.num_rows - 1, 1)
+            batch = pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
+        whole, row = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("hash", "row"))
+        # Rows equal in id and text are one.
+        single = np.concatenate([[True], (whole[1:] != whole[:-1]) | (row[1:] != row[:-1])])
+        if not single.all():
+            batch, whole = batch.filter(pa.array(single)), whole[single]
+        same = whole[1:] == whole[:-1]
+        head = np.concatenate([[heads], ~same])
+        ids = batch.column("doc_id")
+        later, first = np.flatnonzero(same) + 1, np.flatnonzero(same & head[:-1])
+        if len(later):
+            yield out(0, batch.take(pa.array(later)), ids.take(pa.array(later - 1)), True)
+        if len(first):
+            yield out(0, batch.take(pa.array(first)), ids.take(pa.array(first + 1)), False)
+        last, heads = batch.slice(batch.num_rows - 1, 1), bool(head[-1])
     if last is not None:
-        yield out(2, 1, last.to_pylist()[0])
-
+        yield out(2, last, nobody, False)
 
-def neighbour_pairs(docs: DataFrame) -> DataFrame:
-    """Neighbours in the sorted sparse suffix array: row_a, at_a, row_b, at_b."""
-    rows = docs.select(F.col("doc_id").cast("long"), row_key().alias("row"), F.col("text").cast("string")).where("text is not null")
-    suffixes = staged(rows.mapInArrow(_suffixes, SUFFIX), "suffixes")
-    order = ("gram", "after", "doc_id", "row", "at")
-    seen = staged(suffixes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours, SEEN), "neighbours")
-    # Two rows for each task: the last of one and the first of the next that has rows.
-    ends = seen.where("kind > 0")
-    w = Window.orderBy("task", "kind")
-    border = ends.select(
-        "kind", "gram", F.lag("gram").over(w).alias("_gram"), F.lag("row").over(w).alias("row_a"), F.lag("at").over(w).alias("at_a"), F.col("row").alias("row_b"), F.col("at").alias("at_b")
-    ).where("kind = 1 and gram = _gram and (row_a <> row_b or at_a <> at_b)")
-    columns = ("row_a", "at_a", "row_b", "at_b")
-    return seen.where("kind = 0").select(*columns).unionAll(border.select(*columns))
 
+SPANS = "row long, doc_id long, start int, end int, other_id long, own boolean, earlier boolean"
 
-SPANS = "row long, doc_id long, start int, end int, other_id long, own boolean"
 
+def _joined(min_words: int):
+    """Spans of windows that follow each other, of rows sorted by all but the end."""
 
-def _extend(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = SpanHasher()
-
-        def words(text: str) -> np.ndarray:
-            data = np.frombuffer(text.encode(), np.uint8)
-            found = find_words(data, np.array([0, len(data)]))
-            return hasher(data, found.starts, found.ends)
-
-        known: tuple = (None, None)
         for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                if known[0] != r["row_a"]:
-                    known = (r["row_a"], words(r["text_a"]))
-                a = known[1]
-                b = a if r["row_a"] == r["row_b"] else words(r["text_b"])
-                low, shift = max(0, -r["shift"]), r["shift"]
-                high = min(len(a), len(b) - shift)
-                equal = np.zeros(high - low + 2, np.int8)
-                equal[1:-1] = a[low:high] == b[low + shift : high + shift]
-                change = np.diff(equal)
-                starts, ends = np.flatnonzero(change == 1) + low, np.flatnonzero(change == -1) + low
-                own = r["row_a"] == r["row_b"]
-                # A text equal to itself at this shift is so at its multiples; the first without overlap counts.
-                more = (-(-min_words // abs(shift)) - 1) * shift if own else 0
-                for s, e in zip(starts, ends, strict=True):
-                    s, e = (s, e - more) if more >= 0 else (s - more, e)
-                    if e - s >= min_words:
-                        out.append((r["row_a"], r["id_a"], s, e, r["id_b"], own))
-                        out.append((r["row_b"], r["id_b"], s + shift + more, e + shift + more, r["id_a"], own))
-            columns = list(zip(*out, strict=True)) or [[]] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in SPANS.split(", ")])
+            if batch.num_rows == 0:
+                continue
+            new = np.zeros(batch.num_rows, bool)
+            new[0] = True
+            for name in ("row", "other_id", "own", "earlier"):
+                values = batch.column(name).fill_null(False if name in ("own", "earlier") else -1).to_numpy(zero_copy_only=False)
+                new[1:] |= values[1:] != values[:-1]
+            gone = batch.column("other_id").is_null().to_numpy(zero_copy_only=False)
+            start = batch.column("start").to_numpy(zero_copy_only=False)
+            new[1:] |= (gone[1:] != gone[:-1]) | (start[1:] > start[:-1] + 1)
+            head = np.flatnonzero(new)
+            ends = start[np.append(head[1:], len(start)) - 1] + min_words
+            kept = batch.take(pa.array(head))
+            columns = {name: kept.column(name) for name in kept.schema.names} | {"end": pa.array(ends.astype(np.int32))}
+            names = [x.split()[0] for x in SPANS.split(", ")]
+            yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
 
     return run
 
 
 def repeated_spans(docs: DataFrame, min_words: int = 50) -> DataFrame:
-    """Matches of at least ``min_words`` words: row, doc_id, start, end (words), other_id, own (same text)."""
-    if min_words < K + W - 1:
-        raise ValueError(f"min_words must be at least {K + W - 1}")
-    pairs = neighbour_pairs(docs)
-    # All hits on one diagonal of two texts are one comparison.
-    lines = staged(pairs.select("row_a", "row_b", (F.col("at_b") - F.col("at_a")).alias("shift")).distinct(), "diagonals")
-    needed = lines.select(F.explode(F.array("row_a", "row_b")).alias("row")).distinct()
-    rows = docs.select(row_key().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string")).where("text is not null")
-    wanted = docs.sparkSession.sparkContext.broadcast(marks(needed, "row"))
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(marked(wanted.value, batch.column("row").to_numpy())))
+    """Passages of at least ``min_words`` words: row, doc_id, start, end (words), other_id, own (same text), earlier.
+
+    ``other_id`` is a text that holds the passage too; ``earlier`` tells that it comes before in the order of
+    ids (rows of one id in the order of their hash), which holds in all but one of the texts with the passage.
+    """
+    if min_words < K:
+        raise ValueError(f"min_words must be at least {K}")
+    rows = docs.select(F.col("doc_id").cast("long"), row_key().alias("row"), F.col("text").cast("string")).where("text is not null")
+    grams = rows.mapInArrow(_grams(min_words), "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    wanted = docs.sparkSession.sparkContext.broadcast(marks(staged(grams.select("gram"), "grams"), "gram"))
+    windows = staged(rows.mapInArrow(_windows(min_words, wanted), WINDOW), "windows")
+    order = ("hash", "doc_id", "row")
+    seen = staged(windows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours, SEEN), "neighbours")
+    # Two rows for each task: the last of one and the first of the next that has rows.
+    w = Window.orderBy("task", "kind")
+    fields = ("hash", "doc_id", "row", "start", "more")
+    here = F.struct(*fields)
+    ends = seen.where("kind > 0").select("kind", here.alias("b"), F.lag(here).over(w).alias("a"))
+    ends = ends.where("kind = 1 and a.hash = b.hash and a.row <> b.row")
+
+    def side(one: str, other: str, earlier: bool) -> DataFrame:
+        return ends.select(*[f"{one}.{c}" for c in fields[1:]], F.col(f"{other}.doc_id").alias("other_id"), F.lit(earlier).alias("earlier"))
 
-    rows = rows.mapInArrow(pick, rows.schema)
-    texts = staged(rows.join(needed, "row", "left_semi").dropDuplicates(["row"]), "texts")
-    a = texts.select(F.col("row").alias("row_a"), F.col("doc_id").alias("id_a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("row").alias("row_b"), F.col("doc_id").alias("id_b"), F.col("text").alias("text_b"))
-    return lines.join(b, "row_b").join(a, "row_a").mapInArrow(_extend(min_words), SPANS)
+    found = seen.where("kind = 0").select(*fields[1:], "other_id", "earlier").unionAll(side("b", "a", True)).unionAll(side("a", "b", False))
+    places = F.concat(F.array("start"), "more")
+    found = found.withColumn("own", F.lit(False)).withColumn("start", F.explode(places)).drop("more")
+    # Places in one text at least a window apart from another.
+    alone = windows.where("size(more) > 0").withColumn("_last", F.element_at("more", -1)).withColumn("_first", F.col("start"))
+    alone = alone.withColumn("start", F.explode(places)).where(F.greatest(F.col("_last") - F.col("start"), F.col("start") - F.col("_first")) >= min_words)
+    alone = alone.select("doc_id", "row", "start", F.col("doc_id").alias("other_id"), F.lit(False).alias("earlier"), F.lit(True).alias("own"))
+    every = found.unionByName(alone)
+    return every.repartition("row").sortWithinPartitions("row", "own", "other_id", "earlier", "start").mapInArrow(_joined(min_words), SPANS)
 
 
 def merged(spans: Column) -> Column:
@@ -216,8 +236,8 @@ def merged(spans: Column) -> Column:
 def repeats(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """One row per text that holds repeated passages.
 
-    doc_id, n_repeated_words, spans (merged word spans), other_ids (texts it was compared with and
-    shares a passage with).
+    doc_id, n_repeated_words, spans (merged word spans), other_ids (texts it shares a passage with: for each
+    window the one before it in the order of ids, or after it).
     """
     found = repeated_spans(docs, min_words).groupBy("row", "doc_id").agg(
         F.collect_set(F.struct("start", "end")).alias("spans"), F.sort_array(F.collect_set("other_id")).alias("other_ids")
@@ -228,11 +248,12 @@ def repeats(docs: DataFrame, min_words: int = 50) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, min_words: int = 50) -> DataFrame:
-    """``docs`` with each passage cut that a text of a smaller id was found to hold; all columns.
+    """``docs`` with each passage cut that a text of a smaller id holds; all columns.
 
-    The words of the passage and the separators inside it go. The text with the smallest id keeps it.
+    The words of the passage and the separators inside it go. The text with the smallest id keeps it
+    (of texts with that id, one does). Null ids neither cut nor are cut.
     """
-    later = repeated_spans(docs, min_words).where("not own and other_id < doc_id")
+    later = repeated_spans(docs, min_words).where("earlier and other_id <= doc_id")
     cuts = later.groupBy("row").agg(merged(F.collect_set(F.struct("start", "end"))).alias("_cuts")).withColumnRenamed("row", "_row")
     marked = docs.withColumn("_key", row_key())
     joined = marked.join(cuts, marked["_key"] == cuts["_row"], "left").drop("_key", "_row")

@@ -164,6 +164,29 @@ def test_contaminations_tolerate_replaced_words(spark):
     assert decontaminate.contaminations(docs, bench.limit(0)).count() == 0 and decontaminate.decontaminated(docs, bench.limit(0)).count() == 10
 
 
+def test_near_copies_are_compared_by_all_windows(spark):
+    r = random.Random(7)
+    base = [f"w{k}" for k in range(200)]
+    passages = [[f"p{g}x{k}" for k in range(50)] for g in range(5)]
+    every = [[w if r.random() > 0.05 else f"e{r.random()}" for w in base] for _ in range(300)]
+    every += [[f"a{r.random()}"] + passages[g] + [f"b{r.random()}"] for g in range(5) for _ in range(60)]
+    windows = defaultdict(list)
+    for k, w in enumerate(every):
+        for i in range(len(w) - 49):
+            windows[tuple(w[i : i + 50])].append((k, i))
+    want, gone = defaultdict(set), defaultdict(set)
+    for places in windows.values():
+        for k, i in places if len(places) > 1 else ():
+            want[k].update(range(i, i + 50))
+            if k > places[0][0]:
+                gone[k].update(range(i, i + 50))
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(every)], "doc_id long, text string").repartition(7)
+    got = {x["doc_id"]: {i for s in x["spans"] for i in range(s["start"], s["end"])} for x in repeats.repeats(docs).collect()}
+    assert got == want
+    left = {x["doc_id"]: WORD.findall(x["text"]) for x in repeats.without_repeats(docs).collect()}
+    assert left == {k: [x for i, x in enumerate(w) if i not in gone[k]] for k, w in enumerate(every)}
+
+
 def test_copies_in_a_row_are_those_of_all_windows(spark):
     r = random.Random(6)
 
