@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import chat, decontaminate, importance, jaccard, line_dedup, mixing, repeats, rules, token_counts, toxicity
+from millwright.llm import (
+    chat,
+    decontaminate,
+    divergence,
+    importance,
+    jaccard,
+    line_dedup,
+    mixing,
+    pieces,
+    repeats,
+    rules,
+    token_counts,
+    toxicity,
+    whitening,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,6 +126,67 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    both = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), model), model)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT id, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS item
+  FROM d
+), k AS (
+  SELECT lang, item FROM w GROUP BY lang, item HAVING count(DISTINCT id) >= 3
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), c AS (
+  SELECT lang, source, item, count(*) AS n FROM w JOIN k USING (lang, item) GROUP BY ALL
+), v AS (
+  SELECT lang, count(*) AS v FROM k GROUP BY lang
+), cells AS (
+  SELECT g.lang, g.source, k.item, coalesce(c.n, 0) AS n, v.v, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS size
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, item)
+), shares AS (
+  SELECT *, (1 + (1000000000::HUGEINT * (n + 1)) // (size + v))::BIGINT AS p FROM cells
+), wide AS (
+  SELECT lang, item, sum(n) AS n, any_value(v) AS v FROM cells GROUP BY lang, item
+), whole AS (
+  SELECT lang, item, (1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER (PARTITION BY lang) + v))::BIGINT AS q FROM wide
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS other, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.item = y.item AND x.source <> y.source GROUP BY ALL
+  ) s ON s.lang = a.lang AND s.source = a.source AND s.other = b.source
+), terms AS (
+  SELECT s.lang, s.source, 'term' AS part, s.item, ((p - q) * (p - q) // q)::BIGINT AS value
+  FROM shares s JOIN whole USING (lang, item) WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
 QUERIES = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_jaccard_join": (op2_jaccard_join, None),
@@ -123,4 +198,7 @@ QUERIES = {
     "op8_mixture": (op8_mixture, OP8_SQL),
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_suffix_array": (op10_suffix_array, None),
+    "op11_sentencepiece": (op11_sentencepiece, None),
+    "op12_whitening": (op12_whitening, None),
+    "op13_source_divergence": (op13_source_divergence, OP13_SQL),
 }

@@ -128,6 +128,12 @@ def windows_in_texts(first: np.ndarray, size: int) -> np.ndarray:
     return np.arange(n) + size <= room[:n]
 
 
+def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Indexes of all entries of consecutive runs ``starts[k]:starts[k] + lengths[k]``."""
+    before = np.cumsum(lengths) - lengths
+    return np.arange(int(lengths.sum())) + np.repeat(starts - before, lengths)
+
+
 def per_text(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sum of ``flags`` between consecutive bounds."""
     running = np.zeros(len(flags) + 1, np.int64)
