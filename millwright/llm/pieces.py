@@ -11,9 +11,9 @@ left. The same pieces are found here without a merge queue over the text:
 * A place from which no piece leads on is marked in a bitfield of failed positions and the last piece is
   taken back. As the pieces up to a place are unique, no place is tried twice.
 
-A text is cut beforehand where no piece of the model reaches across: before a blank that follows
-anything but a blank, and around characters that stand in no piece of several characters. Equal
-parts are encoded once for a slice of texts, and remembered.
+A text is cut beforehand between any two characters that stand side by side in no piece of the model, since no merge
+joins them: before a blank that ends a word, around a line feed or a foreign letter. Equal parts are encoded once for
+a slice of texts, and remembered.
 
 Decoding concatenates the pieces, turns the blank sign back into a blank, drops the blank that encoding put
 first, and reads runs of byte pieces as UTF-8, each byte that is none as U+FFFD.
@@ -41,7 +41,7 @@ BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 NO_PIECE = -1
 # Entries of a worker's tables of known parts and pairs, after which it starts them anew.
-KEPT = 400_000
+KEPT = 250_000
 POINT_VALUES = mix(np.arange(1, 0x110001, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -117,7 +117,8 @@ class Encoder:
             self.automaton.add_word(text[::-1], i)
         self.automaton.make_automaton()
         self.shorter = {i: self._shorter(text) for text, i in self.ids.items()}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.sizes = [len(t) for t in model.texts]
+        self.fits: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
 
     def _shorter(self, text: str) -> int:
@@ -151,12 +152,13 @@ class Encoder:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging both anew keeps them apart and whole."""
-        known = self.fits.get((left, right))
+        key = (left << 32) + right
+        known = self.fits.get(key)
         if known is None:
             if len(self.fits) > KEPT:
                 self.fits.clear()
             a, b = self.text_of(left), self.text_of(right)
-            known = self.fits[left, right] = self.merged(a + b) == [a, b]
+            known = self.fits[key] = self.merged(a + b) == [a, b]
         return known
 
     def stable(self, i: int) -> bool:
@@ -172,31 +174,34 @@ class Encoder:
         for end, i in self.automaton.iter(part[::-1]):
             if longest[n - 1 - end] == NO_PIECE:  # the first report at a place is its longest piece
                 longest[n - 1 - end] = i
-        failed = bytearray((n >> 3) + 1)
+        sizes, shorter, fits = self.sizes, self.shorter, self.fits
+        failed, any_failed = bytearray((n >> 3) + 1), False
         laid: list[int] = []
-        at = 0
-        piece = longest[0]
-        if piece == NO_PIECE:
-            piece = self._character(part[0])
+        at, last = 0, NO_PIECE
+        piece = longest[0] if longest[0] >= 0 else self._character(part[0])
         while True:
             while piece != NO_PIECE:
-                end = at + (len(self.text[piece]) if piece >= 0 else 1)
-                if not failed[end >> 3] >> (end & 7) & 1 and (self.compatible(laid[-1], piece) if laid else self.stable(piece)):
-                    break
-                piece = self.shorter[piece] if piece >= 0 else NO_PIECE
+                end = at + (sizes[piece] if piece >= 0 else 1)
+                if not (any_failed and failed[end >> 3] >> (end & 7) & 1):
+                    fit = fits.get((last << 32) + piece) if at else self.stable(piece)
+                    if fit or fit is None and self.compatible(last, piece):
+                        break
+                piece = shorter[piece] if piece >= 0 else NO_PIECE
             if piece != NO_PIECE:
                 laid.append(piece)
-                at = end
-                if at == n:
+                if end == n:
                     break
-                piece = longest[at]
-                if piece == NO_PIECE:
-                    piece = self._character(part[at])
+                at, last = end, piece
+                piece = longest[at] if longest[at] >= 0 else self._character(part[at])
             else:
+                any_failed = True
                 failed[at >> 3] |= 1 << (at & 7)
                 piece = laid.pop()
-                at -= len(self.text[piece]) if piece >= 0 else 1
-                piece = self.shorter[piece] if piece >= 0 else NO_PIECE
+                at -= sizes[piece] if piece >= 0 else 1
+                last = laid[-1] if laid else NO_PIECE
+                piece = shorter[piece] if piece >= 0 else NO_PIECE
+        if min(laid) >= 0:
+            return laid
         out = []
         for i in laid:
             if i >= 0:
@@ -211,11 +216,14 @@ class TextEncoder:
 
     def __init__(self, model: Model) -> None:
         self.encoder, self.dummy_prefix = Encoder(model), model.dummy_prefix
+        # Characters of pieces are numbered from 1, all others are 0; ``joined`` has the pairs that stand side by side in a piece.
         several = [t for t in self.encoder.ids if len(t) > 1]
-        self.alone = np.ones(0x110000, bool)
-        self.alone[[ord(c) for c in set("".join(several))]] = False
-        # No piece holds a blank after anything else: then words are encoded on their own.
-        self.by_words = not any(re.search("[^ ] ", t) for t in several)
+        number = {c: k for k, c in enumerate(sorted(set("".join(several))), 1)}
+        self.width = len(number) + 1
+        self.number = np.zeros(0x110000, np.int32)
+        self.number[[ord(c) for c in number]] = list(number.values())
+        self.joined = np.zeros(self.width**2, bool)
+        self.joined[[number[x] * self.width + number[y] for t in several for x, y in zip(t, t[1:], strict=False)]] = True
         self.hasher, self.known = SpanHasher(), {}
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -233,11 +241,9 @@ class TextEncoder:
         points[points == ord(BLANK)] = 0x20
         if len(points) == 0:
             return np.zeros(0, np.int32), np.zeros(n + 1, np.int64)
-        cut = self.alone[points]
-        cut[1:] |= cut[:-1].copy()
-        if self.by_words:
-            blank = points == 0x20
-            cut[1:] |= blank[1:] & ~blank[:-1]
+        number = self.number[points]
+        cut = np.ones(len(points), bool)
+        cut[1:] = ~self.joined[number[:-1] * self.width + number[1:]]
         cut[first[:-1][first[:-1] < len(points)]] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(points))
@@ -308,37 +314,54 @@ class Decoder:
         return out
 
 
-def encode(docs: DataFrame, model_file: str) -> DataFrame:
-    """``(doc_id, ids)`` per row of ``docs(doc_id, text)``, without begin and end ids.
+def _list_parts(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All ids and the bounds of each row's ids."""
+    offsets = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+    return lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
-    ``model_file`` is a path on the driver. The model (a few MB, whatever the number of rows) is broadcast.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(read_model(model_file)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(Model(*shared.value))
-        for batch in batches:
-            for i, j, data, offsets in text_slices(batch.column(1)):
-                ids, bounds = encoder(data, offsets)
-                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), lists], names=["doc_id", "ids"])
+def _encoded(batches: Iterator[pa.RecordBatch], encoder: TextEncoder) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i, j, data, offsets in text_slices(batch.column(1)):
+            ids, bounds = encoder(data, offsets)
+            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), lists], names=["doc_id", "ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], decoder: Decoder) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = pa.array(decoder(*_list_parts(batch.column(1))), pa.string())
+        yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=["doc_id", "ids", "decoded"])
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids array<int>")
+
+def _shared(df: DataFrame, model_file: str):
+    """The model as a broadcast; a few MB, whatever the number of rows."""
+    return df.sparkSession.sparkContext.broadcast(tuple(read_model(model_file)))
+
+
+def encode(docs: DataFrame, model_file: str) -> DataFrame:
+    """``(doc_id, ids)`` per row of ``docs(doc_id, text)``, without begin and end ids. ``model_file`` is a path on the driver."""
+    shared = _shared(docs, model_file)
+    return _texts(docs).mapInArrow(lambda batches: _encoded(batches, TextEncoder(Model(*shared.value))), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, model_file: str) -> DataFrame:
     """``(doc_id, ids, decoded)`` per row of ``encoded(doc_id, ids)``; null ids decode to an empty text."""
-    shared = encoded.sparkSession.sparkContext.broadcast(tuple(read_model(model_file)))
-    no_ids = F.array().cast("array<int>")
+    shared = _shared(encoded, model_file)
+    rows = encoded.select("doc_id", F.coalesce(F.col("ids"), F.array().cast("array<int>")).alias("ids"))
+    return rows.mapInArrow(lambda batches: _decoded(batches, Decoder(Model(*shared.value))), "doc_id long, ids array<int>, decoded string")
+
+
+def round_trip(docs: DataFrame, model_file: str) -> DataFrame:
+    """:func:`encode` and :func:`decode` of its ids in one pass, with one worker process per task."""
+    shared = _shared(docs, model_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(Model(*shared.value))
-        for batch in batches:
-            lists = batch.column(1)
-            offsets = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
-            ids = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
-            texts = decoder(ids, offsets - offsets[0])
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
-
-    rows = encoded.select("doc_id", F.coalesce(F.col("ids"), no_ids).alias("ids"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+        model = Model(*shared.value)
+        return _decoded(_encoded(batches, TextEncoder(model)), Decoder(model))
+
+    return _texts(docs).mapInArrow(run, "doc_id long, ids array<int>, decoded string")

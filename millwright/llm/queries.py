@@ -130,7 +130,7 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    both = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), model), model)
+    both = pieces.round_trip(table(spark, sf_dir, "documents"), model)
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
