@@ -41,13 +41,37 @@ LEVELS = (2, 4, 8, 16)
 TERM = np.zeros(256, bool)
 TERM[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
-CHUNK = "lang string, lang_key long, sources array<string>, terms array<string>, first array<int>, doc_source array<int>, term array<int>, n array<int>"
+# Numbers are kept as raw 32-bit integers: ``at`` has the bounds of the terms in ``data``, ``first`` those of the documents in ``term`` and ``n``.
+CHUNK = "lang string, lang_key long, sources array<string>, data binary, at binary, first binary, doc_source binary, term binary, n binary"
+# Rows that a task gathers before it adds them up and passes them on.
+GATHERED = 2_000_000
 
 
-def _one_list(values: pa.Array | np.ndarray) -> pa.Array:
-    """A list column with a single row."""
-    values = values if isinstance(values, pa.Array) else pa.array(values.astype(np.int32))
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+def _raw(values: np.ndarray) -> pa.Array:
+    """A binary column with a single row of 32-bit integers."""
+    return pa.array([values.astype("<i4").tobytes()], pa.binary())
+
+
+def _added_up(batches: Iterator[pa.RecordBatch], keys: list[str], sums: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches with equal keys added up within a task, so that Spark gets fewer rows; memory is bounded by :data:`GATHERED` rows."""
+
+    def compact(gathered: list[pa.RecordBatch | pa.Table]) -> pa.Table:
+        tables = [pa.Table.from_batches([b]) if isinstance(b, pa.RecordBatch) else b for b in gathered]
+        total = pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([(c, "sum") for c in sums])
+        return total.rename_columns([*keys, *sums] if total.column_names[0] == keys[0] else [*sums, *keys]).select([*keys, *sums])
+
+    gathered, rows = [], 0
+    for batch in batches:
+        gathered.append(batch)
+        rows += batch.num_rows
+        if rows > GATHERED:
+            total = compact(gathered)
+            gathered, rows = [total], total.num_rows
+            if rows > GATHERED // 2:
+                yield from total.to_batches(max_chunksize=50_000)
+                gathered, rows = [], 0
+    if gathered:
+        yield from compact(gathered).to_batches(max_chunksize=50_000)
 
 
 def chunks(docs: DataFrame) -> DataFrame:
@@ -79,12 +103,14 @@ def chunks(docs: DataFrame) -> DataFrame:
                     doc, term = np.divmod(pairs, len(order))
                     heads = np.flatnonzero(np.diff(doc, prepend=-1))
                     sources = batch.column(2).slice(i, j - i).take(pa.array(doc[heads])).dictionary_encode()
+                    names = pa.ListArray.from_arrays(pa.array([0, len(sources.dictionary)], pa.int32()), sources.dictionary)
                     key = batch.column(1)[i + int(owner[mine[0]])]
+                    _, where, text = terms.take(pa.array(order)).buffers()
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([langs.dictionary[k].as_py()], pa.string()), pa.array([key.as_py()], pa.int64()),
-                            _one_list(sources.dictionary), _one_list(terms.take(pa.array(order))),
-                            _one_list(np.append(heads, len(pairs))), _one_list(sources.indices.to_numpy()), _one_list(term), _one_list(counts),
+                            pa.array([langs.dictionary[k].as_py()], pa.string()), pa.array([key.as_py()], pa.int64()), names,
+                            pa.array([text.to_pybytes()[: int(at[-1])]], pa.binary()), _raw(np.frombuffer(where, np.int32)[: len(order) + 1]),
+                            _raw(np.append(heads, len(pairs))), _raw(sources.indices.to_numpy()), _raw(term), _raw(counts),
                         ],
                         names=[c.split()[0] for c in CHUNK.split(", ")],
                     )
@@ -97,13 +123,12 @@ class Chunk:
     """One row of :func:`chunks` as arrays."""
 
     def __init__(self, batch: pa.RecordBatch, row: int) -> None:
-        lang, key, sources, terms, first, doc_source, term, n = (c[row] for c in batch.columns)
-        self.lang, self.key, self.sources, self.terms = lang.as_py(), key.as_py(), sources.values, terms.values
-        self.first, self.doc_source, self.term, self.n = (x.values.to_numpy().astype(np.int64) for x in (first, doc_source, term, n))
-        _, where, data = self.terms.buffers()
-        self.at = np.frombuffer(where, np.int32)[self.terms.offset : self.terms.offset + len(self.terms) + 1].astype(np.int64)
-        self.data = np.frombuffer(data, np.uint8)[self.at[0] : self.at[-1]]
-        self.at = self.at - self.at[0]
+        lang, key, sources, data, at, *rest = (c[row] for c in batch.columns)
+        self.lang, self.key, self.sources = lang.as_py(), key.as_py(), sources.values
+        self.first, self.doc_source, self.term, self.n = (np.frombuffer(x.as_buffer(), "<i4").astype(np.int64) for x in rest)
+        where, text = at.as_buffer(), data.as_buffer()
+        self.at, self.data = np.frombuffer(where, "<i4").astype(np.int64), np.frombuffer(text, np.uint8)
+        self.terms = pa.StringArray.from_buffers(len(self.at) - 1, where, text)
 
     def doc(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.doc_source)), np.diff(self.first))
@@ -134,7 +159,7 @@ def _prefixes(parts: DataFrame, size: int, last: tuple[int, np.ndarray] | None)
                 found, docs = np.unique(key[new], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(docs)], names=["key", "docs"])
 
-    return parts.mapInArrow(count, "key long, docs long")
+    return parts.mapInArrow(lambda batches: _added_up(count(batches), ["key"], ["docs"]), "key long, docs long")
 
 
 def _terms(parts: DataFrame, last: tuple[int, np.ndarray] | None) -> DataFrame:
@@ -159,14 +184,15 @@ def _terms(parts: DataFrame, last: tuple[int, np.ndarray] | None) -> DataFrame:
                     names=["lang", "term", "source", "docs", "n"],
                 )
 
-    return parts.mapInArrow(count, "lang string, term string, source string, docs long, n long")
+    schema = "lang string, term string, source string, docs long, n long"
+    return parts.mapInArrow(lambda batches: _added_up(count(batches), ["lang", "term", "source"], ["docs", "n"]), schema)
 
 
 def kept_terms(docs: DataFrame, min_docs: int = 3, levels: Sequence[int] = LEVELS) -> DataFrame:
-    """``(lang, term, total, counts)`` of the terms in ``min_docs`` documents of their language.
+    """``(lang, term, source, docs, n)`` of the terms by source, with all terms in ``min_docs`` documents of their language.
 
-    ``docs(lang, source, text)`` without nulls; ``counts`` is a list of ``(source, n)``, ``total`` the sum of all ``n``.
-    ``levels`` are the numbers of bytes to which prefixes are extended, rising.
+    ``docs(lang, source, text)`` without nulls. ``levels`` are the numbers of bytes to which prefixes are extended, rising. A term
+    in fewer documents may be left; none with enough is missing.
     """
     parts = staged(chunks(docs), "divergence-chunks")
     last = None
@@ -174,36 +200,52 @@ def kept_terms(docs: DataFrame, min_docs: int = 3, levels: Sequence[int] = LEVEL
         grown = _prefixes(parts, size, last).groupBy("key").agg(F.sum("docs").alias("docs"))
         grown = staged(grown.where(F.col("docs") >= min_docs).select("key"), "divergence-prefixes")
         last = (size, marks(grown, "key"))
-    by_source = _terms(parts, last).groupBy("lang", "term", "source").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
-    whole = by_source.groupBy("lang", "term").agg(
-        F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("counts")
-    )
-    return whole.where(F.col("docs") >= min_docs).drop("docs")
+    return _terms(parts, last).groupBy("lang", "term", "source").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
 
 
 def _share(count: Column, size: Column) -> Column:
-    """``1 + floor(10**9 * (count + 1) / size)``, exact."""
-    numerator = (count + 1).cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(10,0)")
-    return F.call_function("div", numerator, size.cast("decimal(20,0)")) + 1
+    """``1 + floor(10**9 * (count + 1) / size)``, exact for up to 9 * 10**15 words: long division in steps of 1000."""
+    out, rest = F.lit(1).cast("long"), count + 1
+    for weight in (1_000_000, 1000, 1):
+        out = out + F.call_function("div", rest * 1000, size) * weight
+        rest = (rest * 1000) % size
+    return out
+
+
+def _shares(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """:func:`_share` of arrays."""
+    out, rest = np.ones(np.broadcast_shapes(counts.shape, sizes.shape), np.int64), counts + 1
+    for weight in (1_000_000, 1000, 1):
+        digits, rest = np.divmod(rest * 1000, sizes)
+        out += digits * weight
+    return out
 
 
 def _apart(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def _pair_sums(shares: DataFrame) -> DataFrame:
-    """``(lang, a, b, value)``: the divergence of source ``a`` from source ``b``, places in the language's list, from ``(lang, p)``."""
+def _pair_sums(terms: DataFrame) -> DataFrame:
+    """``(lang, a, b, value)``: divergence of source ``a`` from source ``b``, by their places in the language.
+
+    From a row per kept term: ``lang``, ``counts`` as a list of ``(place, n)``, and ``sizes``, the ``N + V`` of all places.
+    """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             langs = batch.column(0).dictionary_encode()
-            indices, lists = langs.indices.to_numpy(), batch.column(1)
+            indices = langs.indices.to_numpy()
             for k, lang in enumerate(langs.dictionary.to_pylist()):
-                rows = lists.take(pa.array(np.flatnonzero(indices == k)))
-                p = rows.flatten().to_numpy().reshape(len(rows), -1)
-                total = sums.setdefault(lang, np.zeros((p.shape[1], p.shape[1]), np.int64))
-                for a in range(p.shape[1]):
+                mine = pa.array(np.flatnonzero(indices == k))
+                lists, sizes = batch.column(1).take(mine), batch.column(2)[mine[0].as_py()].values.to_numpy()
+                cells = lists.flatten()
+                row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+                counts = np.zeros((len(lists), len(sizes)), np.int64)
+                counts[row, cells.field("place").to_numpy()] = cells.field("n").to_numpy()
+                p = _shares(counts, sizes)
+                total = sums.setdefault(lang, np.zeros((len(sizes), len(sizes)), np.int64))
+                for a in range(len(sizes)):
                     off = p - p[:, a : a + 1]
                     total[a] += (off * off // p).sum(0)
         for lang, total in sums.items():
@@ -212,7 +254,7 @@ def _pair_sums(shares: DataFrame) -> DataFrame:
                 [pa.repeat(lang, len(a)).cast(pa.string()), pa.array(a), pa.array(b), pa.array(total.ravel())], names=["lang", "a", "b", "value"]
             )
 
-    return shares.mapInArrow(add, "lang string, a int, b int, value long").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
+    return terms.mapInArrow(add, "lang string, a int, b int, value long").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
 
 
 def source_divergence(docs: DataFrame, min_docs: int = 3, levels: Sequence[int] = LEVELS, top: int = 200) -> DataFrame:
@@ -222,28 +264,33 @@ def source_divergence(docs: DataFrame, min_docs: int = 3, levels: Sequence[int]
     ``term``: the ``top`` kept terms that the group has more often than its language, by divergence from the language.
     """
     docs = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    kept = staged(kept_terms(docs, min_docs, levels), "divergence-terms")
-    sizes = kept.select("lang", F.explode("counts").alias("c")).groupBy("lang", "c.source").agg(F.sum("c.n").alias("size"))
-    sizes = docs.select("lang", "source").distinct().join(sizes, ["lang", "source"], "left")
-    groups = sizes.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("source", F.coalesce("size", F.lit(0)).alias("size")))).alias("groups"))
+    # One row per group; as a written table its size is known, and Spark broadcasts it where that is small.
+    by_name = Window.partitionBy("lang").orderBy("source")
+    places = staged(docs.select("lang", "source").distinct().withColumn("place", F.row_number().over(by_name) - 1), "divergence-places")
+    cells = kept_terms(docs, min_docs, levels).join(places, ["lang", "source"])
+    kept = cells.groupBy("lang", "term").agg(
+        F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("place", "n")).alias("counts")
+    )
+    kept = staged(kept.where(F.col("docs") >= min_docs).drop("docs"), "divergence-terms")
+
     whole = kept.groupBy("lang").agg(F.sum("total").alias("all"), F.count(F.lit(1)).alias("v"))
-    # One row per language; as a written table its size is known, and Spark broadcasts it where that is small.
-    langs = staged(groups.join(whole, "lang", "left").withColumns({"all": F.coalesce("all", F.lit(0)), "v": F.coalesce("v", F.lit(0))}), "divergence-langs")
-    counts = F.map_from_entries("counts")
-    known = kept.join(langs, "lang").withColumn("by", counts)
-    share = F.transform("groups", lambda g: _share(F.coalesce(F.element_at("by", g["source"]), F.lit(0)), g["size"] + F.col("v")))
-    known = known.withColumn("p", share)
-
-    places = F.posexplode("groups.source")
-    left = langs.select("lang", "groups", places.alias("a", "source"))
-    pairs = left.select("lang", "a", "source", F.posexplode("groups.source").alias("b", "item")).where("a <> b")
-    value = F.coalesce("value", F.lit(0)).cast("long")
-    pairs = pairs.join(_pair_sums(known.select("lang", "p")), ["lang", "a", "b"], "left").select("lang", "source", "item", value.alias("value"))
-
-    own = known.withColumn("q", _share(F.col("total"), F.col("all") + F.col("v")))
-    own = own.select("lang", F.col("term").alias("item"), "q", F.explode(F.arrays_zip(F.col("groups.source").alias("source"), "p", F.transform("groups", lambda g: F.element_at("by", g["source"])).alias("n"))).alias("g"))
-    own = own.select("lang", F.col("g.source").alias("source"), "item", F.col("g.p").alias("p"), "q", F.col("g.n").alias("n")).where("n > 0 and p > q")
-    own = own.select("lang", "source", "item", _apart(F.col("p"), F.col("q")).alias("value"))
+    sizes = kept.select("lang", F.inline("counts")).groupBy("lang", "place").agg(F.sum("n").alias("size"))
+    groups = places.join(whole, "lang", "left").join(sizes, ["lang", "place"], "left")
+    v = F.coalesce("v", F.lit(0))
+    groups = groups.select("lang", "source", "place", (F.coalesce("size", F.lit(0)) + v).alias("size"), (F.coalesce("all", F.lit(0)) + v).alias("all"))
+    groups = staged(groups, "divergence-groups")
+
+    in_place = F.array_sort(F.collect_list(F.struct("place", "size")))["size"]
+    langs = staged(groups.groupBy("lang").agg(in_place.alias("sizes")), "divergence-langs")
+    sums = _pair_sums(kept.join(langs, "lang").select("lang", "counts", "sizes"))
+    left = groups.select("lang", "source", F.col("place").alias("a"))
+    right = groups.select("lang", F.col("source").alias("item"), F.col("place").alias("b"))
+    pairs = left.join(right, "lang").where("a <> b").join(sums, ["lang", "a", "b"], "left")
+    pairs = pairs.select("lang", "source", "item", F.coalesce("value", F.lit(0)).cast("long").alias("value"))
+
+    own = kept.select("lang", F.col("term").alias("item"), "total", F.inline("counts")).join(groups, ["lang", "place"])
+    own = own.select("lang", "source", "item", _share(F.col("n"), F.col("size")).alias("p"), _share(F.col("total"), F.col("all")).alias("q"))
+    own = own.where("p > q").select("lang", "source", "item", _apart(F.col("p"), F.col("q")).alias("value"))
 
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
 
