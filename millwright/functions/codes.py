@@ -175,10 +175,14 @@ TOOLING_WORKFLOWS = (
 )
 WEBHOOK_NODE_PATTERN = r'getWorkflowVariable\("([a-f0-9\-]+)\.numeroProcesso"\)'
 
-# List dates: local zone, anchor tolerance (days), empty tokens, slash-date pattern.
+# List dates: local zone, anchor tolerance (days), empty tokens.
 LOCAL_ZONE = "America/Fortaleza"
 ANCHOR_TOLERANCE_DAYS = 2
 EMPTY_DATE_TOKENS = ("", "nan", "none", "nat", "null")
-SLASH_DATE_PATTERN = (
-    r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})(?:[ T](\d{1,2}):(\d{2})(?::(\d{2}))?)?\s*$"
+# First three letters of month names, English and then Portuguese.
+MONTH_NAMES = (
+    "jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec",
+    "jan", "fev", "mar", "abr", "mai", "jun", "jul", "ago", "set", "out", "nov", "dez",
 )
+# Years of two digits below it are of this century.
+TWO_DIGIT_YEAR_PIVOT = 69

@@ -15,6 +15,8 @@ RECOMMENDED = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM never compiles methods above 8000 bytes; wider plans are then generated as many small methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from millwright.functions.dates import DateFields, resolve_dates
+from millwright.functions.dates import DateFields, parsed_timestamp, resolve_dates
 from millwright.functions.typing import typed
 from millwright.operators import quality
 from millwright.operators.nested import flatten
@@ -59,6 +59,54 @@ def test_manual_dates(ts, raw, want):
     assert one(ts, raw, DateFields(manual=("dt",))) == want
 
 
+SHAPES = [
+    ("2026/06/03", "2026-06-03 00:00:00"),
+    ("31-12-2025", "2025-12-31 00:00:00"),
+    ("12-31-2025", "2025-12-31 00:00:00"),
+    ("31.12.2025 10:00", "2025-12-31 10:00:00"),
+    ("3 Jun 2026", "2026-06-03 00:00:00"),
+    ("3 junho 2026 7:05", "2026-06-03 07:05:00"),
+    ("3-fev-2024", "2024-02-03 00:00:00"),
+    ("Jun 3, 2026 1:02:03", "2026-06-03 01:02:03"),
+    ("2026-6-3", "2026-06-03 00:00:00"),
+    ("03/06/26", "2026-06-03 00:00:00"),
+    ("12/13/99", "1999-12-13 00:00:00"),
+    ("20260603", "2026-06-03 00:00:00"),
+    (" 2026-06-03T10:11:12.345Z ", "2026-06-03 10:11:12.345000"),
+    ("2026-06-03 10:00:00.123456789", "2026-06-03 10:00:00.123456"),
+    ("2026-06-03T10:11:12-03:00", "2026-06-03 13:11:12"),
+    ("2026-06-03 10:00:00 +0530", "2026-06-03 04:30:00"),
+    ("2026-06-03 10:00:00 UTC", "2026-06-03 10:00:00"),
+    ("06/15/2026 10:00:00 PM", "2026-06-15 22:00:00"),
+    ("03/06/2026 12:00 am", "2026-06-03 00:00:00"),
+    ("29/02/2024", "2024-02-29 00:00:00"),
+    *((bad, None) for bad in (
+        "29/02/2023", "31/02/2026", "00/00/2020", "2026-06-03 25:00", "03/06/2026 13:00 pm", "03/06/2026 10:00 xx", "3 de junho", "dezembro", "x", "/", "//",
+        "99999999999/1/2026", "1/2", "2026-06-03 10", "2026-06-03abcz", "03/06/026", "03/06/2026/1", "3 foo 2026", "12345678901", "٣/٦/2026",
+    )),
+]
+
+
+def test_shapes(spark):
+    df = spark.createDataFrame([(raw, raw) for raw, _ in SHAPES], "raw string, dt string")
+    got = resolve_dates(df.withColumn("typed", parsed_timestamp(F.col("dt"))), DateFields(manual=("dt",))).collect()
+    shown = [(r.raw, *(None if x is None else str(x) for x in (r.dt, r.typed))) for r in got]
+    assert shown == [(raw, want, want) for raw, want in SHAPES]
+
+
+def test_shapes_of_events(ts):
+    assert one(ts, "06-03-2026 20:00:34", UTC) == "2026-06-03 17:00:34"
+    assert one(ts, "06.03.2026 17:00", LOCAL) == "2026-06-03 17:00:00"
+    assert one(ts, "2026/06/03 20:00", UTC) == "2026-06-03 20:00:00"
+
+
+def test_system_fields_in_any_shape(ts):
+    fields = DateFields(system=("dt",))
+    assert one(ts, "2026-06-03T19:59:40.5Z", fields) == "2026-06-03 16:59:40.500000"
+    assert one(ts, "2026-06-03T16:59:40-03:00", fields) == "2026-06-03 16:59:40"
+    assert one(ts, "03 Jun 2026 19:59:40", fields) == "2026-06-03 16:59:40"
+
+
 def test_typing(spark):
     rows = [("7", "1.5", "TRUE", "03/06/2026"), ("x", "nan", "0", "nope"), ("None", "2,5", "", None)]
     out = typed(spark.createDataFrame(rows, "a string, b string, c string, d string"), {"a": "int", "b": "double", "c": "boolean", "d": "date", "e": "int"})

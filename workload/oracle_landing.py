@@ -32,6 +32,11 @@ SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 17 <> 0 THEN {_
        {_CREATED} + INTERVAL 2 HOUR AS dt_aprovacao_analista, {_CREATED} AS Created, {_CREATED} + INTERVAL 2 HOUR AS Modified,
        CAST(CAST({_CREATED} AS DATE) AS TIMESTAMP) AS dt_fap
 FROM orders"""
+SHAPES = """
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 16 IN (0, 7, 8, 9, 10) THEN m WHEN o_orderkey % 16 = 11 THEN m + INTERVAL 3 HOUR
+       WHEN o_orderkey % 16 = 3 THEN date_trunc('minute', m) WHEN o_orderkey % 16 < 14 THEN date_trunc('day', m) END AS lido,
+       CAST(NULL AS TIMESTAMP) AS vazio
+FROM (SELECT *, o_orderdate + INTERVAL 300 MONTH + to_seconds(o_orderkey % 86399) AS m FROM orders)"""
 TYPED = """
 SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 <> 0 THEN round(o_totalprice, 2) END AS valor,
        CASE o_orderkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS ativo, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderkey % 100 AS INTEGER) END AS cracha

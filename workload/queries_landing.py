@@ -131,6 +131,24 @@ def repaired_dates(s: SparkSession, d: str) -> DataFrame:
     return out.select("id", "dt_aprovacao_eng", "dt_aprovacao_analista", "Created", "Modified", "dt_fap")
 
 
+# Written shapes of one moment; the last two are no dates.
+SHAPES = (
+    "dd/MM/yyyy HH:mm:ss", "yyyy/MM/dd", "dd-MM-yyyy", "dd.MM.yyyy HH:mm", "d MMM yyyy", "yyyy-M-d", "dd/MM/yy", "yyyy-MM-dd'T'HH:mm:ss'Z'",
+    "yyyy-MM-dd HH:mm:ss.SSS", "MMM d, yyyy HH:mm:ss", "dd/MM/yyyy hh:mm:ss a", "yyyy-MM-dd'T'HH:mm:ss'-03:00'", "yyyyMMdd", "dd-MMM-yyyy",
+    "'31/02/'yyyy", "'week 23'",
+)
+
+
+def date_shapes(s: SparkSession, d: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    moment = F.timestamp_add("SECOND", key % 86_399, F.timestamp_add("MONTH", F.lit(300), F.col("o_orderdate")))
+    rows = table(s, d, "orders").select(key.alias("id"), moment.alias("moment"))
+    texts = [F.when(F.col("id") % len(SHAPES) == k, F.date_format("moment", shape)) for k, shape in enumerate(SHAPES[:-1])]
+    rows = rows.select("id", F.coalesce(*texts, F.lit("week 23")).alias("lido"), F.lit(None).cast("string").alias("vazio"))
+    out = resolve_dates(rows, DateFields(manual=("lido", "vazio")))
+    return out.select("id", "lido", "vazio")
+
+
 def typed_items(s: SparkSession, d: str) -> DataFrame:
     schema = {"id": "bigint", "valor": "decimal(18,2)", "ativo": "boolean", "cracha": "int", "absent": "string"}
     return typed(list_items(s, d), schema).withColumn("valor", F.col("valor").cast("double"))
@@ -232,6 +250,7 @@ QUERIES = {
     "log_related_products": (log_related, sql.RELATED),
     "log_areas": (log_areas, sql.AREAS),
     "repaired_dates": (repaired_dates, sql.DATES),
+    "date_shapes": (date_shapes, sql.SHAPES),
     "typed_items": (typed_items, sql.TYPED),
     "recently_modified_items": (recent_items, sql.RECENT),
     "last_order_ids": (last_orders, sql.LAST_IDS),
