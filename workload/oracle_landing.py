@@ -93,3 +93,15 @@ WITH tgt AS (
   WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.id = t.id) AND NOT coalesce(t.dia >= TIMESTAMP '2000-01-01 00:00:00', false)
 )
 SELECT *, coalesce(strftime(dia, '%Y-%m'), 'none') AS ano_mes FROM merged"""
+
+# The newest delivered version of each order; the stored ones that no newer version met keep their stamp.
+STREAMED = """
+WITH delivered AS (
+  SELECT o_orderkey AS id, o_orderdate, o_totalprice,
+         CASE WHEN o_orderkey % 3 = 0 THEN 2 WHEN o_orderkey % 4 = 2 OR o_orderkey % 10 = 9 THEN 1 ELSE 0 END AS versao
+  FROM orders
+)
+SELECT id, o_orderdate + to_days(20 * versao) AS dia, versao, o_totalprice + versao AS valor,
+       CASE WHEN id % 4 = 0 AND versao = 0 THEN TIMESTAMP '1995-01-01 00:00:00' ELSE TIMESTAMP '2001-09-01 00:00:00' END AS data_atualizacao_db,
+       strftime(o_orderdate + to_days(20 * versao), '%Y-%m') AS ano_mes
+FROM delivered"""

@@ -14,7 +14,7 @@ from millwright.operators import quality
 from millwright.plans import silver, workflow_logs
 from millwright.session import checkpoint_dir
 from millwright.sources import plants, tables
-from millwright.streaming import incremental
+from millwright.streaming import continuous, incremental
 from workload import oracle_landing as sql
 from workload import roles
 from workload.roles import table
@@ -244,6 +244,33 @@ def months_merged(s: SparkSession, d: str) -> DataFrame:
     return tables.read_months(s, path)
 
 
+
+STREAM_AS_OF = "2001-09-01 00:00:00"
+
+
+def orders_streamed(s: SparkSession, d: str) -> DataFrame:
+    """Order versions that land out of order and repeatedly, in three arrivals with a restart before each, merged as a stream."""
+    key, orders = F.col("o_orderkey"), table(s, d, "orders")
+
+    def version(v: int, where: Column) -> DataFrame:
+        day = F.timestamp_add("DAY", F.lit(20 * v), F.col("o_orderdate").cast("timestamp_ntz"))
+        return orders.where(where).select(key.alias("id"), day.alias("dia"), F.lit(v).alias("versao"), (F.col("o_totalprice") + v).alias("valor"))
+
+    root = _folder(s, "stream")
+    stored = version(0, key % 4 == 0).withColumn("data_atualizacao_db", clock.ntz("1995-01-01 00:00:00"))
+    tables.write_months(stored, f"{root}/table", "dia")
+    arrivals = (
+        version(0, key % 10 != 9).unionAll(version(2, key % 3 == 0)),
+        version(1, key % 4 == 2).unionAll(version(0, key % 5 == 0)),  # late where version 2 has come; partly repeated
+        version(2, key % 3 == 0).unionAll(version(1, key % 10 == 9)),
+    )
+    for rows in arrivals:
+        rows.repartition(2).write.mode("append").parquet(f"{root}/landed")
+        stream = continuous.landed_stream(s, f"{root}/landed", rows.schema, max_files=2)
+        continuous.merge_available(stream, f"{root}/table", f"{root}/checkpoint", ["id"], STREAM_AS_OF, "versao", "dia")
+    return tables.read_months(s, f"{root}/table")
+
+
 QUERIES = {
     "log_events": (log_events, sql.EVENTS),
     "log_skus": (log_skus, sql.SKUS),
@@ -262,4 +289,5 @@ QUERIES = {
     "keyed_folders_round_trip": (keyed_round_trip, sql.KEYED),
     "csv_round_trip": (csv_round_trip, sql.CSV),
     "months_merged": (months_merged, sql.MONTHS),
+    "orders_streamed": (orders_streamed, sql.STREAMED),
 }
