@@ -2,16 +2,49 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.sources.tables import materialised
+from millwright.session import checkpoint_dir
+from millwright.sources.tables import removed
+
+_noted: list[list[str]] = []
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared checkpoint folder and read back."""
-    return materialised(df, f"llm-{name}")
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    for folders in _noted:
+        folders.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def noted_folders() -> Iterator[list[str]]:
+    """The folders that :func:`staged` writes meanwhile."""
+    folders: list[str] = []
+    _noted.append(folders)
+    try:
+        yield folders
+    finally:
+        _noted.remove(folders)
+
+
+def release(df: DataFrame, folders: list[str]) -> None:
+    """Removes staged folders, but for those that ``df`` still reads; the list keeps these."""
+    names = [path.rsplit("/", 1)[1] for path in folders]
+    read = {part for file in df.inputFiles() for part in file.split("/")} if folders else set()
+    for path, name in zip(list(folders), names, strict=True):
+        if name not in read:
+            removed(df.sparkSession, path)
+            folders.remove(path)
 
 
 MAX_MARKS = 1 << 27
