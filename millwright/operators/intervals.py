@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +42,44 @@ def clip(start: Column, end: Column, low: Column, high: Column) -> tuple[Column,
     )
 
 
+# Each tile of the time hierarchy holds eight of the level below; four levels above a day reach eleven years.
+RADIX_BITS, TOP_LEVEL = 3, 4
+
+
+def tiles(first: Column, last: Column) -> Column:
+    """The tiles of an interval of base tiles ``first`` to ``last``, as a list of ``(level, index, own)``.
+
+    Own tiles cover the interval without overlap, the largest that fit: their number grows with the logarithm of
+    its length. The others are the tiles it fills in part, at most two a level; they hold own tiles.
+    """
+    nothing = F.array().cast("array<bigint>")
+
+    def numbered(level: int, a: Column, b: Column) -> Column:
+        """Own tiles ``a`` to before ``b`` of a level."""
+        found = F.when(a < b, F.sequence(a, b - 1)).otherwise(nothing)
+        return F.transform(found, lambda i: F.struct(F.lit(level).alias("level"), i.alias("index"), F.lit(True).alias("own")))
+
+    def whole(level: int) -> tuple[Column, Column]:
+        """First whole tile of a level, and the one after the last."""
+        bits = RADIX_BITS * level
+        return F.shiftright(first + ((1 << bits) - 1), bits), F.shiftright(last + 1, bits)
+
+    def held(level: int) -> Column:
+        """Tiles of a level that are filled in part."""
+        bits, (low, high) = RADIX_BITS * level, whole(level)
+        edges = F.array_distinct(F.array(F.shiftright(first, bits), F.shiftright(last, bits)))
+        partly = F.filter(edges, lambda i: (i < low) | (i >= high))
+        return F.transform(partly, lambda i: F.struct(F.lit(level).alias("level"), i.alias("index"), F.lit(False).alias("own")))
+
+    parts = [numbered(TOP_LEVEL, *whole(TOP_LEVEL))] + [held(level) for level in range(1, TOP_LEVEL + 1)]
+    for level in range(TOP_LEVEL):
+        (low, high), (up_low, up_high) = whole(level), whole(level + 1)
+        above = up_low < up_high  # the middle is covered by larger tiles
+        step = 1 << RADIX_BITS
+        parts += [numbered(level, low, F.when(above, up_low * step).otherwise(high)), numbered(level, F.when(above, up_high * step).otherwise(high), high)]
+    return F.concat(*parts)
+
+
 def intersect(
     left: DataFrame,
     right: DataFrame,
@@ -49,13 +89,16 @@ def intersect(
     bucket_seconds: int = clock.DAY,
     names: tuple[str, str] = ("ini_parada", "fim_parada"),
     how: str = "inner",
+    period: tuple[AsOf, AsOf] | None = None,
 ) -> DataFrame:
     """Row-level intersections (inclusive ends) of two interval sets sharing ``on``.
 
-    Both sides are exploded into the time buckets they touch and equi-joined on
-    ``on + bucket``, so a busy key is spread over time instead of meeting all its rows at
-    once; a pair is kept only in the first bucket both sides touch, which makes the result
-    exact without a distinct. The intersection is clipped to the left interval.
+    Both sides are cut into :func:`tiles` of a time hierarchy above ``bucket_seconds`` and equi-joined on ``on``
+    and tile, so a busy key is spread over time and a run of years makes tens of rows, not one a day. The own
+    tiles of both sides that hold their first common moment lie in one another: the pair meets in the larger
+    one, once, which makes the result exact without a distinct. The intersection is clipped to the left interval.
+
+    With a ``period`` both sides are clipped to it first; rows outside are dropped, open ends last to its end.
 
     With ``how="left"`` a left row that meets nothing stays, with NULL bounds; rows of one key
     and span meet the same, so key and span tell which are left.
@@ -63,28 +106,43 @@ def intersect(
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
 
-    def bucketed(df: DataFrame, span: tuple[str, str], tag: str) -> DataFrame:
-        lo = F.floor(clock.epoch_seconds(F.col(span[0])) / bucket_seconds)
-        hi = F.floor(clock.epoch_seconds(F.col(span[1])) / bucket_seconds)
-        return (
-            df.where(F.col(span[0]) <= F.col(span[1]))
-            .withColumn(f"_{tag}_first", lo)
-            .withColumn("_bucket", F.explode(F.sequence(lo, hi)))
-        )
+    limits = [clock.ntz(p) for p in period] if period else None
+
+    def span_of(span: tuple[str, str]) -> tuple[Column, Column]:
+        start, end = F.col(span[0]), F.col(span[1])
+        if limits is None:
+            return start, end
+        low, high = limits
+        return F.greatest(start, low), F.least(F.coalesce(end, high), high)
+
+    def spanned(df: DataFrame, span: tuple[str, str], tag: str) -> DataFrame:
+        start, end = span_of(span)
+        df = df.where(F.col(span[0]).isNotNull()).withColumns({f"_{tag}0": start, f"_{tag}1": end}).where(f"_{tag}0 <= _{tag}1")
+        return df.withColumns({f"_{tag}a": F.floor(clock.epoch_seconds(F.col(f"_{tag}0")) / bucket_seconds), f"_{tag}b": F.floor(clock.epoch_seconds(F.col(f"_{tag}1")) / bucket_seconds)})
+
+    def tiled(df: DataFrame, tag: str, other: DataFrame, other_tag: str) -> DataFrame:
+        if limits is not None:
+            reach = F.floor((clock.epoch_seconds(limits[1]) - clock.epoch_seconds(limits[0])) / bucket_seconds) + 2
+        else:
+            reach = other.agg(F.max(F.col(f"_{other_tag}b") - F.col(f"_{other_tag}a") + 1)).scalar()
+        cut = F.inline(tiles(F.col(f"_{tag}a"), F.col(f"_{tag}b")))
+        cut = df.select("*", cut).withColumnsRenamed({"level": "_level", "index": "_tile", "own": f"_{tag}own"})
+        # A tile filled in part meets own tiles of the other side, which are no longer than its longest interval.
+        size = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_level") * RADIX_BITS)
+        return cut.where(F.col(f"_{tag}own") | (size <= reach))
 
     keep = [c for c in right.columns if c not in on]
     renamed = right.select(*on, *[F.col(c).alias(f"_r_{c}") for c in keep])
-    r0, r1 = F.col(f"_r_{right_span[0]}"), F.col(f"_r_{right_span[1]}")
-    l0, l1 = F.col(left_span[0]), F.col(left_span[1])
-    ini, fim = clip(r0, r1, l0, l1)
     extra = [c for c in keep if c not in right_span and c not in left.columns]
+    ls = spanned(left, left_span, "l")
+    rs = spanned(renamed, (f"_r_{right_span[0]}", f"_r_{right_span[1]}"), "r")
+    ini, fim = clip(F.col("_r0"), F.col("_r1"), F.col("_l0"), F.col("_l1"))
+    shared = F.greatest("_la", "_ra")
+    holds = F.call_function("shiftright", shared, F.col("_level") * RADIX_BITS) == F.col("_tile")
     met = (
-        bucketed(left, left_span, "l")
-        .join(
-            bucketed(renamed, (f"_r_{right_span[0]}", f"_r_{right_span[1]}"), "r"),
-            [*on, "_bucket"],
-        )
-        .where((F.col("_bucket") == F.greatest("_l_first", "_r_first")) & (r0 <= l1) & (r1 >= l0))
+        tiled(ls, "l", rs, "r")
+        .join(tiled(rs, "r", ls, "l"), [*on, "_level", "_tile"])
+        .where((F.col("_lown") | F.col("_rown")) & holds & (F.col("_r0") <= F.col("_l1")) & (F.col("_r1") >= F.col("_l0")))
         .select(
             *left.columns,
             *[F.col(f"_r_{c}").alias(c) for c in extra],
@@ -95,7 +153,11 @@ def intersect(
     if how == "inner":
         return met
     known = [*on, *left_span]
-    alone = left.join(met.select(*known).distinct(), known, "left_anti").select(*left.columns)
+    if period:
+        left = ls.select(*left.columns)
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in known]
+    found = met.select(*[F.col(c).alias(f"_k_{c}") for c in known]).distinct()
+    alone = left.join(found, reduce(and_, same), "left_anti").select(*left.columns)
     return met.unionByName(alone, allowMissingColumns=True)
 
 

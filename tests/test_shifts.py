@@ -1,12 +1,14 @@
 """Hand-computed shift, interval and OEE cases."""
 
+import datetime
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from millwright.functions import clock
 from millwright.operators.dedup import latest_per_key, without_repeated_open_runs
-from millwright.operators.intervals import covered_seconds, intersect
+from millwright.operators.intervals import covered_seconds, intersect, tiles
 from millwright.operators.shifts import cut_at_shifts, shift_grid, with_shifts
 from millwright.plans.oee import with_oee
 
@@ -139,8 +141,6 @@ def test_intersect_matches_pairs_across_buckets(spark, ts):
             out.append((1 if i % 3 else 2, i, *(str(F_EPOCH(x)) for x in (a, b))))
         return out
 
-    import datetime
-
     def F_EPOCH(s):
         return datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=s)
 
@@ -160,3 +160,44 @@ def test_intersect_matches_pairs_across_buckets(spark, ts):
     assert sorted((r.i, r.j, str(r.c0), str(r.c1)) for r in outer if r.c0 is not None) == want
     met = {i for i, *_ in want}
     assert sorted((r.i, r.c1) for r in outer if r.c0 is None) == sorted((i, None) for _, i, _, _ in left + more if i not in met)
+
+
+@pytest.mark.parametrize("period", [None, ("2021-03-05 07:00:00", "2023-08-01 00:00:00")])
+def test_long_intervals_meet_once(spark, ts, period):
+    """Spans of minutes to a decade, one key with most rows, open ends; against all pairs."""
+    rng = random.Random(11)
+    first = datetime.datetime(2019, 12, 30, 23)
+
+    def rows(n):
+        out = []
+        for i in range(n):
+            a = first + datetime.timedelta(minutes=rng.randrange(0, 5 * 525_600))
+            b = a + datetime.timedelta(minutes=rng.choice([0, 7, 1440, 8 * 1440, 64 * 1440, rng.randrange(5_000_000)]))
+            out.append((1 if i % 5 else 2, i, a, None if i % 17 == 0 else b))
+        return out
+
+    left, right = rows(150), rows(150)
+    schema = "m int, {0} int, {1}0 timestamp_ntz, {1}1 timestamp_ntz"
+
+    def table(rows, names):
+        return ts([(m, i, str(a), b and str(b)) for m, i, a, b in rows], schema.format(*names))
+
+    got = intersect(table(left, "ia"), table(right, "jb"), ["m"], ("a0", "a1"), ("b0", "b1"), names=("c0", "c1"), period=period).collect()
+    if period:
+        low, high = map(datetime.datetime.fromisoformat, period)
+        left, right = ([(m, i, max(a, low), min(b or high, high)) for m, i, a, b in x] for x in (left, right))
+    want = [
+        (i, j, max(a, c), min(b, d)) for m, i, a, b in left for k, j, c, d in right if m == k and None not in (b, d) and a <= b and c <= d and c <= b and d >= a
+    ]
+    assert sorted((r.i, r.j, r.c0, r.c1) for r in got) == sorted(want) and len(want) > 500
+
+
+def test_a_run_of_years_makes_tens_of_rows(spark):
+    spans = [(0, 0), (3, 5), (0, 7), (1, 4000), (-900, 3999), (7, 8), (100, 611)]
+    df = spark.createDataFrame(spans, "a long, b long").select("a", "b", tiles(F.col("a"), F.col("b")).alias("t"))
+    for r in df.collect():
+        own = [range(t["index"] * 8**t.level, (t["index"] + 1) * 8**t.level) for t in r.t if t.own]
+        assert sorted(x for tile in own for x in tile) == list(range(r.a, r.b + 1)) and len(r.t) < 60
+        partly = {(k, x // 8**k) for k in range(1, 5) for x in range(r.a, r.b + 1)}
+        partly = {(k, i) for k, i in partly if i * 8**k < r.a or (i + 1) * 8**k - 1 > r.b}
+        assert {(t.level, t["index"]) for t in r.t if not t.own} == partly
