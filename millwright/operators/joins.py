@@ -47,13 +47,14 @@ def join_dimension(
     return fact.withColumn("_salt", salt).join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
-def join_sparse(fact: DataFrame, other: DataFrame, keys: Sequence[str], optional: str, spread_by: str) -> DataFrame:
+def join_sparse(fact: DataFrame, other: DataFrame, keys: Sequence[str], optional: str, spread_by: str | None = None) -> DataFrame:
     """Left join on keys of which ``optional`` is often NULL.
 
-    Rows without the key match nothing; they are spread by another column instead of all
+    Rows without the key match nothing; they are spread by another column, or by all of them, instead of
     meeting in the partition of the NULL key.
     """
-    spread = F.when(F.col(optional).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(1024))).otherwise(F.lit(-1))
+    by = [spread_by] if spread_by else [F.col(f"`{c}`") for c in fact.columns]
+    spread = F.when(F.col(optional).isNull(), F.pmod(F.xxhash64(*by), F.lit(1024))).otherwise(F.lit(-1))
     return (
         fact.withColumn("_spread", spread.cast("bigint"))
         .join(other.withColumn("_spread", F.lit(-1).cast("bigint")), [*keys, "_spread"], "left")

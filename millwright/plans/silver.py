@@ -13,6 +13,7 @@ from millwright.functions.clock import AsOf
 from millwright.functions.values import same_text
 from millwright.operators.dedup import latest_per_key
 from millwright.operators.intervals import in_window, point_in_window, touches_range
+from millwright.operators.joins import join_sparse
 from millwright.operators.merge import merge_into, replace_window, soft_delete_merge
 
 PLANT = "id_estabelecimento"
@@ -241,12 +242,15 @@ def with_master_date(approvals: DataFrame) -> DataFrame:
 
 
 def gains_with_master_date(gains: DataFrame, approvals: DataFrame) -> DataFrame:
-    """Gains without a master date take the approval date of their request, when approved."""
+    """Gains without a master date take the approval date of their request, when approved.
+
+    Many gains have no request; they are spread over all tasks.
+    """
     parent = approvals.where(same_text(F.col("status"), "Aprovado")).select(
         F.col("id").alias("id_solicitacao_assinatura"), F.col("dt_aprovacao_eng").cast("date").alias("_dt")
     )
     return (
-        gains.join(parent, "id_solicitacao_assinatura", "left")
+        join_sparse(gains, parent, ["id_solicitacao_assinatura"], "id_solicitacao_assinatura")
         .withColumn("dt_fap", F.coalesce(F.col("dt_fap").cast("date"), F.col("_dt")))
         .select(*gains.columns)
     )

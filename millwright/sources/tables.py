@@ -19,6 +19,8 @@ from millwright.session import checkpoint_dir
 
 # Partition value of rows without a timestamp.
 NO_MONTH = "none"
+# What a version calls the only part of a table that is replaced as a whole.
+WHOLE = "all"
 
 
 def month_of(ts: Column) -> Column:
@@ -86,14 +88,28 @@ def append(df: DataFrame, path: str) -> None:
 def full_refresh(df: DataFrame, path: str, as_of: AsOf, keep_when_empty: bool = True) -> bool:
     """Replace a table and stamp ``loaded_at``; an empty source leaves the old data.
 
-    Returns whether the table was written. ``df`` must not read from ``path``.
+    The source is computed once, into a folder of its own. Readers (:func:`read_refreshed`) see the old rows until the version
+    that names the new folder has ended, so ``df`` may read the table itself and a job killed half way changes
+    nothing. Returns whether the table was replaced. One writer at a time.
     """
-    if keep_when_empty and df.isEmpty():
+    spark, load = df.sparkSession, f"r{uuid.uuid4().hex}"
+    rows = df.withColumn("loaded_at", clock.ntz(as_of))
+    rows.write.option("compression", "zstd").parquet(f"{path}/load={load}")
+    if keep_when_empty and spark.read.schema(rows.schema).parquet(f"{path}/load={load}").isEmpty():
+        removed(spark, f"{path}/load={load}")
         return False
-    df.withColumn("loaded_at", clock.ntz(as_of)).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    _publish(spark, path, _current(spark, path)[0] + 1, {WHOLE: load}, rows.schema)
     return True
 
 
+def read_refreshed(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the last finished :func:`full_refresh`."""
+    _, loads, schema = _current(spark, path)
+    if schema is None:
+        raise FileNotFoundError(f"no finished version of a table at {path}")
+    return spark.read.schema(schema).parquet(f"{path}/load={loads[WHOLE]}")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").option("nullValue", "\\N").csv(path)
 

@@ -153,7 +153,44 @@ def test_full_refresh_keeps_data_when_empty(spark, tmp_path):
     assert tables.stored(spark, path) is None
     assert tables.full_refresh(df, path, NOW)
     assert not tables.full_refresh(df.limit(0), path, NOW)
-    assert tables.stored(spark, path).columns == ["k", "loaded_at"]
+    assert tables.read_refreshed(spark, path).columns == ["k", "loaded_at"]
+    # A table may be refreshed from itself.
+    again = tables.read_refreshed(spark, path).select("k")
+    assert tables.full_refresh(again.union(again), path, NOW) and tables.read_refreshed(spark, path).count() == 2
+    assert tables.full_refresh(df.limit(0), path, NOW, keep_when_empty=False) and tables.read_refreshed(spark, path).count() == 0
+
+
+def test_a_refresh_killed_half_way_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    computed = spark.sparkContext.accumulator(0)
+    with pytest.raises(FileNotFoundError):
+        tables.read_refreshed(spark, path)
+    tables.full_refresh(spark.createDataFrame([(1,)], "k int"), path, NOW)
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_publish", killed)
+        with pytest.raises(KeyboardInterrupt):
+            tables.full_refresh(spark.createDataFrame([(2,)], "k int"), path, NOW)
+    (tmp_path / "t" / "versions" / "9").mkdir()  # a version whose write did not end
+    assert [r.k for r in tables.read_refreshed(spark, path).collect()] == [1]
+
+    def counted(k):
+        computed.add(1)
+        return k
+
+    rows = spark.createDataFrame([(k,) for k in range(10)], "k int").select(F.udf(counted, "int")("k").alias("k"))
+    assert tables.full_refresh(rows, path, NOW) and computed.value == 10
+    assert tables.read_refreshed(spark, path).count() == 10
+
+
+def test_write_once_leaves_a_finished_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1,)], "k int")
+    assert tables.stored(spark, path) is None
+    tables.write_once(df, path)
     tables.write_once(df.union(df), path)
     assert tables.stored(spark, path).count() == 1
 

@@ -105,3 +105,6 @@ SELECT id, o_orderdate + to_days(20 * versao) AS dia, versao, o_totalprice + ver
        CASE WHEN id % 4 = 0 AND versao = 0 THEN TIMESTAMP '1995-01-01 00:00:00' ELSE TIMESTAMP '2001-09-01 00:00:00' END AS data_atualizacao_db,
        strftime(o_orderdate + to_days(20 * versao), '%Y-%m') AS ano_mes
 FROM delivered"""
+REFRESHED = """
+SELECT o_orderkey, o_totalprice, TIMESTAMP '2024-01-03 00:00:00' AS loaded_at FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0"""
+APPENDED = "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 4 < 2"

@@ -245,6 +245,25 @@ def months_merged(s: SparkSession, d: str) -> DataFrame:
 
 
 
+def orders_refreshed(s: SparkSession, d: str) -> DataFrame:
+    """Replaced as a whole twice, the second time from itself; an empty source in between changes nothing."""
+    path, orders = _folder(s, "refreshed"), table(s, d, "orders").select("o_orderkey", "o_totalprice")
+    tables.full_refresh(orders.where("o_orderkey % 2 = 0"), path, "2024-01-01 00:00:00")
+    tables.full_refresh(orders.limit(0), path, "2024-01-02 00:00:00")
+    rest = orders.where("o_orderkey % 2 = 1 AND o_orderkey % 3 = 0")
+    tables.full_refresh(tables.read_refreshed(s, path).drop("loaded_at").unionAll(rest), path, "2024-01-03 00:00:00")
+    return tables.read_refreshed(s, path)
+
+
+def rows_appended(s: SparkSession, d: str) -> DataFrame:
+    """An empty table like its source, then two appends."""
+    path, orders = _folder(s, "appended"), table(s, d, "orders").select("o_orderkey", "o_orderstatus")
+    tables.empty_like(orders, path)
+    for k in (0, 1):
+        tables.append(orders.where(F.col("o_orderkey") % 4 == k), path)
+    return tables.read_union(s, path)
+
+
 STREAM_AS_OF = "2001-09-01 00:00:00"
 
 
@@ -290,4 +309,6 @@ QUERIES = {
     "csv_round_trip": (csv_round_trip, sql.CSV),
     "months_merged": (months_merged, sql.MONTHS),
     "orders_streamed": (orders_streamed, sql.STREAMED),
+    "orders_refreshed": (orders_refreshed, sql.REFRESHED),
+    "rows_appended": (rows_appended, sql.APPENDED),
 }
