@@ -236,7 +236,9 @@ def resolve_dates(df: DataFrame, fields: DateFields, zone: str = codes.LOCAL_ZON
     out = out.withColumns({n: _shift_hours(_typed_by_hand(n), zone) for n in system}) if system else out
     final = {n: _typed_by_hand(n) if n in manual else _picked(n, anchor("Created"), anchor("Modified")) for n in zones if n not in system}
     out = out.withColumns(final) if final else out
-    return out.drop(*[f"_{key}_{n}" for key in "kab" for n in zones])
+    # Generated columns: a filter on a date is not pushed into the steps, where it would be expanded many times over.
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in zones]
+    return out.select(*kept, F.inline(F.array(F.struct(*zones)))).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def parsed_timestamp(c: Column) -> Column:
