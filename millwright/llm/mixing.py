@@ -4,15 +4,19 @@ Every source has a target number of words and a schedule: its relative weight at
 training time 0 to 1, linear in between and scaled so that its integral is the target. The words of a
 source form a stream: its texts in the order of a hash of the id, repeated as often as the target
 needs. A text's share of that stream is inverted through the integral of the schedule, which gives
-the moment at which it is due; a range sort by that moment is the order of training.
+the moment at which it is due. The words of all texts due before it are its position in the training
+order, and texts are range-sorted by position.
 
 The stream ends at the target, so the text at the end of the last round may be taken in part, and no
 text is taken more than ``cap`` times. Prefix sums are taken over blocks of hash order first and
 inside a block after that, so a source with a third of all words is spread over many tasks.
 
+Positions come from sums over cells of training time first and inside a cell after that; a source's texts
+are spread over time as its schedule says, so cells are even.
+
 Rows: a null text has size 0 and is never taken; a null source is a source of its own and comes last;
-repeated rows are texts of their own (ties in the order are broken by all that is known of
-them, equal rows are interchangeable); an empty table gives no rows.
+repeated rows are texts of their own (the hash is taken of id and text, so rows of one id or of the null
+id are spread like others; equal rows are interchangeable); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -93,13 +97,17 @@ def due_time(share: Column, rank: Column, schedules: Sequence[Sequence[float]] =
     return out
 
 
+def stream_order() -> Column:
+    """Hash of id and text: the place of a text in the stream of its source."""
+    return F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit("")))))
+
+
 def _streams(docs: DataFrame, weights: Sequence[int], cap: int) -> DataFrame:
-    """Per row: its source's figures, the words before it in the stream, and what is taken."""
+    """Per row of ``docs(source, size, _order)``: its source's figures, the words before it in the stream, and what is taken."""
     n = docs.agg(F.count(F.lit(1))).first()[0]
     # Blocks of about 10,000 texts; the prefix of the hash is uniform, so blocks are even.
     digits = max(1, min(7, len(f"{max(1, n // 10_000):x}")))
-    rows = docs.withColumn("_order", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = rows.withColumn("_block", F.substring("_order", 1, digits))
+    rows = docs.withColumn("_block", F.substring("_order", 1, digits))
     sums = staged(rows.groupBy("source", "_block").agg(F.sum("size").alias("size")), "mix-blocks")
     targets = source_targets(sums, weights, cap)
     before = Window.partitionBy("source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -117,8 +125,8 @@ def _streams(docs: DataFrame, weights: Sequence[int], cap: int) -> DataFrame:
     return rows.withColumn("_part", part).withColumn("taken", (F.col("_rounds") * F.col("size") + F.col("_part")).cast("long"))
 
 
-def _in_training_order(rows: DataFrame, schedules: Sequence[Sequence[float]]) -> DataFrame:
-    """Rows of :func:`_streams` once for each round that takes them, range-sorted by training time.
+def _dealt(rows: DataFrame, schedules: Sequence[Sequence[float]]) -> DataFrame:
+    """Rows of :func:`_streams` once for each round that takes them.
 
     Adds ``round``, ``words_taken`` and ``train_time``. A row that no round takes stays once, with a null
     round and time and 0 words.
@@ -130,9 +138,28 @@ def _in_training_order(rows: DataFrame, schedules: Sequence[Sequence[float]]) ->
     rows = rows.withColumn("words_taken", words.cast("long"))
     middle = F.col("round") * F.col("source_size") + F.col("_before") + F.col("words_taken") / 2
     share = F.least(F.lit(1.0), middle / F.nullif(F.col("_quota"), F.lit(0)))
-    when = F.when(F.col("round").isNotNull(), due_time(share, F.col("rank"), schedules))
-    order = ("train_time", "_order", "doc_id", "round")
-    return rows.withColumn("train_time", when).repartitionByRange(*order).sortWithinPartitions(*order)
+    return rows.withColumn("train_time", F.when(F.col("round").isNotNull(), due_time(share, F.col("rank"), schedules)))
+
+
+def _placed(dealt: DataFrame, cell_rows: int = 10_000) -> DataFrame:
+    """Staged rows of :func:`_dealt` with ``position``, the words of the mix that are due before; range-sorted by it.
+
+    ``cell_rows`` is the mean number of rows in a cell of training time.
+    """
+    due = dealt.where("round is not null")
+    cells = max(1, due.count() // cell_rows)
+    cell = F.least(F.lit(cells - 1), F.floor(F.col("train_time") * cells)).cast("long")
+    due = due.withColumn("_cell", cell)
+    sums = due.groupBy("_cell").agg(F.sum("words_taken").alias("_words"))
+    before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_cell", F.coalesce(F.sum("_words").over(before), F.lit(0)).alias("_earlier"))
+    # Ties in time: by hash, source and round; what is left are equal rows.
+    order = ("train_time", "_order", F.col("source").asc_nulls_last(), "round", "_before")
+    inside = Window.partitionBy("_cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    due = due.withColumn("position", F.coalesce(F.sum("words_taken").over(inside), F.lit(0))).join(offsets, "_cell")
+    due = due.withColumn("position", F.col("position") + F.col("_earlier")).drop("_cell", "_earlier")
+    left = dealt.where("round is null").withColumn("position", F.lit(None).cast("long"))
+    return due.unionByName(left).repartitionByRange("position", "_order").sortWithinPartitions("position", "_order")
 
 
 def mixture(
@@ -141,17 +168,20 @@ def mixture(
     cap: int = 3,
     schedules: Sequence[Sequence[float]] = SCHEDULES,
 ) -> DataFrame:
-    """``(doc_id, size, source_size, target, taken)`` per row of ``docs(doc_id, text, source)``.
+    """``(doc_id, size, source_size, target, taken, position)`` per row of ``docs(doc_id, text, source)``.
 
-    The training order is dealt and written as in :func:`curriculum`; ``taken`` is the sum of its rounds.
+    The training order is dealt, range-sorted and written; ``taken`` is the sum of a text's rounds and
+    ``position`` the words of the mix before its first one (null where nothing is taken).
     """
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), n_words(F.col("text")).alias("size"))
-    dealt = staged(_in_training_order(_streams(staged(rows, "mix-sizes"), weights, cap), schedules), "mix-order")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), n_words(F.col("text")).alias("size"), stream_order().alias("_order"))
+    dealt = staged(_dealt(_streams(staged(rows, "mix-sizes"), weights, cap), schedules), "mix-dealt")
+    placed = staged(_placed(dealt), "mix-order")
     known = ("doc_id", "size", "source_size", "target")
     # Words before it in its stream tell a text that is taken from all others of its source.
-    taken = dealt.where("round is not null").groupBy("source", "_before", *known).agg(F.sum("words_taken").alias("taken"))
-    left = dealt.where("round is null").select(*known, F.col("words_taken").alias("taken"))
-    return taken.select(*known, "taken").unionAll(left)
+    taken = placed.where("round is not null").groupBy("source", "_before", *known)
+    taken = taken.agg(F.sum("words_taken").alias("taken"), F.min("position").alias("position"))
+    left = placed.where("round is null").select(*known, F.col("words_taken").alias("taken"), "position")
+    return taken.select(*known, "taken", "position").unionAll(left)
 
 
 def curriculum(
@@ -163,11 +193,17 @@ def curriculum(
     """One row per text and round that takes it, range-sorted by training time.
 
     All columns of ``docs(doc_id, text, source, ...)``, and ``round`` (0-based), ``words_taken`` and
-    ``train_time``. Columns of ``docs`` with these names are replaced.
+    ``train_time``. Columns of ``docs`` with these names, in whatever case, are replaced.
     """
-    own = [c for c in docs.columns if c not in ("round", "words_taken", "train_time")]
+    added = ("round", "words_taken", "train_time")
+    own = [f"`{c}`" for c in docs.columns if c.lower() not in added]
     rows = docs.select(
-        F.col("doc_id").cast("long"), F.col("source").cast("string"), n_words(F.col("text")).alias("size"), F.struct(*own).alias("_row")
+        F.col("doc_id").cast("long"),
+        F.col("source").cast("string"),
+        n_words(F.col("text")).alias("size"),
+        stream_order().alias("_order"),
+        F.struct(*own).alias("_row"),
     )
-    rows = _streams(rows, weights, cap).where("taken > 0")
-    return _in_training_order(rows, schedules).select("_row.*", "round", "words_taken", "train_time")
+    rows = _dealt(_streams(rows, weights, cap).where("taken > 0"), schedules)
+    order = ("train_time", "_order", "doc_id", "round")
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).select("_row.*", *added)

@@ -92,7 +92,7 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP8_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-    md5(coalesce(doc_id::VARCHAR, '')) AS o
+    md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS o
   FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
@@ -106,15 +106,36 @@ WITH d AS (
 ), t AS (
   SELECT *, least(cap, coalesce((SELECT level FROM l WHERE level * weight <= cap ORDER BY cap / weight, rank LIMIT 1) * weight, cap)) AS target FROM l
 ), b AS (
-  SELECT d.*, source_size, target, round(target)::BIGINT AS quota,
+  SELECT d.*, row_number() OVER () AS id, rank, source_size, target, round(target)::BIGINT AS quota,
     coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY o, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS earlier
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 ), q AS (
   SELECT *, CASE WHEN source_size > 0 THEN quota // source_size ELSE 0 END AS rounds FROM b
+), e AS (
+  SELECT *, greatest(0, least(size, quota - rounds * source_size - earlier)) AS part FROM q
+), rounds AS (
+  SELECT *, unnest(range(rounds + CASE WHEN part > 0 THEN 1 ELSE 0 END)) AS round FROM e WHERE rounds * size + part > 0
+), shares AS (
+  SELECT *, CASE WHEN round < rounds THEN size ELSE part END AS words,
+    least(1.0::DOUBLE, (round * source_size + earlier + (CASE WHEN round < rounds THEN size ELSE part END)::DOUBLE / 2.0::DOUBLE) / quota::DOUBLE) AS share
+  FROM rounds
+), segments AS (
+  SELECT k, lo::DOUBLE AS lo, hi::DOUBLE AS hi, t0::DOUBLE AS t0, a::DOUBLE AS a, slope::DOUBLE AS slope
+  FROM (VALUES (0, 0, 0.375, 0, 0.5, 1), (0, 0.375, 2, 0.5, 1, 1), (1, 0, 0.5, 0, 1, 0), (1, 0.5, 2, 0.5, 1, 0),
+    (2, 0, 0.625, 0, 1.5, -1), (2, 0.625, 2, 0.5, 1, -1)) AS v(k, lo, hi, t0, a, slope)
+), times AS (
+  SELECT shares.*, t0 + least(0.5::DOUBLE, greatest(0::DOUBLE,
+    2::DOUBLE * (share - lo) / (a + sqrt(greatest(0::DOUBLE, a * a + 2::DOUBLE * slope * (share - lo)))))) AS train_time
+  FROM shares JOIN segments ON rank % 3 = k AND share >= lo AND share < hi
+), places AS (
+  SELECT id, words, coalesce(sum(words) OVER (ORDER BY train_time, o, source NULLS LAST, round, earlier
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS position
+  FROM times
+), first AS (
+  SELECT id, min(position)::BIGINT AS position FROM places GROUP BY id
 )
-SELECT doc_id, size, source_size, target,
-  (rounds * size + greatest(0, least(size, quota - rounds * source_size - earlier)))::BIGINT AS taken
-FROM q
+SELECT doc_id, size, source_size, target, (rounds * size + part)::BIGINT AS taken, position
+FROM e LEFT JOIN first USING (id)
 """
 
 

@@ -258,10 +258,13 @@ def test_mixture_is_the_sum_of_its_dealt_rounds(docs, texts, monkeypatch):
         return out
 
     monkeypatch.setattr(mixing, "staged", watched)
-    got = {r["doc_id"]: r["taken"] for r in mixing.mixture(docs).collect()}
+    mixed = mixing.mixture(docs).collect()
+    got = {r["doc_id"]: r["taken"] for r in mixed}
     sources = ["a", "b", None, "a"]
     size = {k: len(WORD.findall(t or "")) for k, t in enumerate(texts)}
-    stream = sorted(size, key=lambda k: (hashlib.md5(str(k).encode()).hexdigest(), k))
+    inner = {k: hashlib.md5((t or "").encode()).hexdigest() for k, t in enumerate(texts)}
+    place = {k: hashlib.md5(f"{k}:{inner[k]}".encode()).hexdigest() for k in size}
+    stream = sorted(size, key=lambda k: place[k])
     quota = {r["source"]: round(r["target"]) for r in rows}
     want, taken = {}, dict.fromkeys(size, 0)
     for rank, source in enumerate(("a", "b", None)):
@@ -286,6 +289,30 @@ def test_mixture_is_the_sum_of_its_dealt_rounds(docs, texts, monkeypatch):
     assert set(dealt) == set(want)
     assert all(dealt[x][0] == want[x][0] and dealt[x][1] == pytest.approx(want[x][1], abs=1e-9) for x in want)
     assert sorted(r["doc_id"] for r in rows if r["round"] is None) == [k for k in sorted(taken) if taken[k] == 0]
+    before, first = 0, dict.fromkeys(size)
+    for k, number in sorted(want, key=lambda x: (dealt[x][1], place[x[0]], x[1])):
+        first[k] = before if first[k] is None else first[k]
+        before += want[k, number][0]
+    assert {r["doc_id"]: r["position"] for r in mixed} == first
+
+
+def test_mixture_positions_do_not_depend_on_cells(docs, monkeypatch):
+    want = sorted(mixing.mixture(docs).collect(), key=str)
+    placed = mixing._placed
+    monkeypatch.setattr(mixing, "_placed", lambda dealt: placed(dealt, cell_rows=5))
+    assert sorted(mixing.mixture(docs).collect(), key=str) == want
+
+
+def test_mixture_spreads_null_and_repeated_ids(spark):
+    rows = [(None if k % 3 else 7, f"w{k} " * (1 + k % 4), "s" if k % 2 else None) for k in range(300)] + [(None, None, None), (7, "", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert docs.select(mixing.stream_order()).distinct().count() == 302
+    got = mixing.mixture(docs).collect()
+    assert len(got) == 302
+    assert sum(r["taken"] for r in got) == sum(r["size"] for r in got)
+    assert sum(r["position"] is None for r in got) == sum(r["taken"] == 0 for r in got)
+    times = docs.withColumn("ROUND", docs["doc_id"])
+    assert mixing.curriculum(times).columns == ["doc_id", "text", "source", "round", "words_taken", "train_time"]
 
 
 def test_due_time_inverts_the_schedule(spark):
