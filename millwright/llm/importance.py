@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from millwright.llm.shared import staged
+from millwright.llm.shared import staged, unused
 from millwright.llm.words import BARE, FOLDED_VALUES, WORD, SpanHasher, mix, text_slices
 
 WORD_BITS = 14
@@ -157,7 +157,10 @@ def weighed(docs: DataFrame, ratios: np.ndarray, seed: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*own.columns, *added], names=[*own.schema.names, "n_grams", "log_weight"])
 
     schema = StructType([*docs.schema.fields, StructField("n_grams", LongType()), StructField("log_weight", DoubleType())])
-    uniform = (F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.lit(seed)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
+    # Rows without an id draw by their text.
+    own = F.xxhash64(F.col("doc_id").cast("long"), F.lit(seed))
+    drawn = F.when(F.col("doc_id").isNull(), F.xxhash64(F.coalesce("text", F.lit("")), F.lit(seed))).otherwise(own)
+    uniform = (F.pmod(drawn, F.lit(1 << 40)) + 0.5) / float(1 << 40)
     return docs.mapInArrow(weigh, schema).withColumn("key", F.col("log_weight") - F.log(-F.log(uniform)))
 
 
@@ -191,6 +194,7 @@ def importance_resampling(docs: DataFrame, labels: DataFrame, max_target_rows: i
 def resampled(docs: DataFrame, labels: DataFrame, max_target_rows: int = 20_000, seed: int = 7) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns; each row is weighed where it is, without a join."""
     ratios, _, cut = fitted(docs, labels, max_target_rows, seed)
-    clean = {c: f"_own_{k}" for k, c in enumerate(docs.columns) if c in ("n_grams", "log_weight", "key")}
+    clashing = [c for c in docs.columns if c.lower() in ("n_grams", "log_weight", "key")]
+    clean = dict(zip(clashing, unused(docs, *[f"_own_{c}" for c in clashing]), strict=True))
     kept = weighed(docs.withColumnsRenamed(clean), ratios, seed).where(F.col("key") >= cut).drop("n_grams", "log_weight", "key")
     return kept.withColumnsRenamed({v: k for k, v in clean.items()})

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.shared import components, marked, marks, staged
+from millwright.llm.shared import components, marked, marks, staged, unused
 from millwright.llm.words import FOLDED_VALUES, MULTIPLIERS, SpanHasher, find_words, mix, text_slices, window_hashes
 
 N = 5
@@ -470,8 +470,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class, the first by id; all texts without words are kept.
 
-    Rows equal in id and text count as one row.
+    Rows equal in id and text count as one row. Further columns pass through, whatever their names.
     """
-    kept = classes(docs).where("set is null or row = least_row").select(F.col("row").alias("_kept")).distinct()
-    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    return keyed.join(kept, keyed["_key"] == kept["_kept"], "left_semi").dropDuplicates(["_key"]).drop("_key")
+    (key,) = unused(docs, "_key")
+    kept = classes(docs).where("set is null or row = least_row").select(F.col("row").alias(key)).distinct()
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    return keyed.join(kept, keyed[key] == kept[key], "left_semi").dropDuplicates([key]).drop(key)

@@ -39,7 +39,7 @@ from millwright.llm.jaccard import (
     shards,
     token_sets,
 )
-from millwright.llm.shared import marked, marks, staged
+from millwright.llm.shared import marked, marks, staged, unused
 from millwright.llm.words import SpanHasher, text_slices
 
 LINE_BITS = 256
@@ -214,29 +214,33 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` without the removed lines, all columns; documents that lose every line with a word are left out."""
-    out = lines_to_remove(docs)
-    kept = F.filter("_lines", lambda _, i: ~F.array_contains("_gone", i))
-    text = F.when(F.size("_gone") > 0, F.array_join(kept, "\n")).otherwise(F.col("text"))
-    empty = (F.size("_gone") > 0) & (F.trim(F.translate(F.array_join(kept, " "), "\t\n\x0b\x0c\r", "     ")) == "")
-    return out.where(~empty | F.col("text").isNull()).withColumn("text", text).select(*docs.columns)
+    """``docs`` without the removed lines; documents that lose every line with a word are left out.
+
+    All columns stay, whatever their names.
+    """
+    out, lines, gone = lines_to_remove(docs)
+    kept = F.filter(lines, lambda _, i: ~F.array_contains(gone, i))
+    text = F.when(F.size(gone) > 0, F.array_join(kept, "\n")).otherwise(F.col("text"))
+    empty = (F.size(gone) > 0) & (F.trim(F.translate(F.array_join(kept, " "), "\t\n\x0b\x0c\r", "     ")) == "")
+    return out.where(~empty | F.col("text").isNull()).withColumn("text", text).drop(lines, gone)
 
 
-def lines_to_remove(docs: DataFrame) -> DataFrame:
-    """``docs`` with its lines (``_lines``) and the numbers of those to remove (``_gone``)."""
-    gone = removed_lines(docs).withColumnsRenamed({"row": "_row", "lines": "_gone"})
-    keyed = docs.withColumn("_key", row_key())
-    out = keyed.join(gone, keyed["_key"] == gone["_row"], "left").drop("_key", "_row")
-    out = out.withColumn("_gone", F.coalesce("_gone", F.array().cast("array<int>")))
-    return out.withColumn("_lines", F.split(F.col("text"), "\n"))
+def lines_to_remove(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """``docs`` with its lines and the numbers of those to remove, and the names of these two columns."""
+    key, row, lines, numbers = unused(docs, "_key", "_row", "_lines", "_gone")
+    gone = removed_lines(docs).withColumnsRenamed({"row": row, "lines": numbers})
+    keyed = docs.withColumn(key, row_key())
+    out = keyed.join(gone, keyed[key] == gone[row], "left").drop(key, row)
+    out = out.withColumn(numbers, F.coalesce(numbers, F.array().cast("array<int>")))
+    return out.withColumn(lines, F.split(F.col("text"), "\n")), lines, numbers
 
 
 def line_report(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_lines, n_removed, removed_lines)`` per row; line numbers count from 0."""
-    out = lines_to_remove(docs)
+    out, lines, gone = lines_to_remove(docs)
     return out.select(
         F.col("doc_id").cast("long"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
-        F.size("_gone").cast("long").alias("n_removed"),
-        F.col("_gone").alias("removed_lines"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.size(gone).cast("long").alias("n_removed"),
+        F.col(gone).alias("removed_lines"),
     )

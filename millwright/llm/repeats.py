@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millwright.llm.shared import marked, marks, staged
+from millwright.llm.shared import marked, marks, staged, unused
 from millwright.llm.words import BASE, SpanHasher, find_words, mix, text_slices, window_hashes, windows_in_texts
 
 K = 20
@@ -251,17 +251,18 @@ def without_repeats(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """``docs`` with each passage cut that a text of a smaller id holds; all columns.
 
     The words of the passage and the separators inside it go. The text with the smallest id keeps it
-    (of texts with that id, one does). Null ids neither cut nor are cut.
+    (of texts with that id, one does). Null ids neither cut nor are cut. Columns may have any names.
     """
+    key, row, cuts_of = unused(docs, "_key", "_row", "_cuts")
     later = repeated_spans(docs, min_words).where("earlier and other_id <= doc_id")
-    cuts = later.groupBy("row").agg(merged(F.collect_set(F.struct("start", "end"))).alias("_cuts")).withColumnRenamed("row", "_row")
-    marked = docs.withColumn("_key", row_key())
-    joined = marked.join(cuts, marked["_key"] == cuts["_row"], "left").drop("_key", "_row")
+    cuts = later.groupBy("row").agg(merged(F.collect_set(F.struct("start", "end"))).alias(cuts_of)).withColumnRenamed("row", row)
+    keyed = docs.withColumn(key, row_key())
+    joined = keyed.join(cuts, keyed[key] == cuts[row], "left").drop(key, row)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("_cuts").to_pylist(), strict=True):
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column(cuts_of).to_pylist(), strict=True):
                 if text is not None and spans:
                     raw = text.encode()
                     found = find_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
@@ -271,6 +272,6 @@ def without_repeats(docs: DataFrame, min_words: int = 50) -> DataFrame:
                 out.append(text)
             at = batch.schema.get_field_index("text")
             batch = batch.set_column(at, "text", pa.array(out, batch.schema.field("text").type))
-            yield batch.drop_columns(["_cuts"])
+            yield batch.drop_columns([cuts_of])
 
     return joined.mapInArrow(cut, docs.schema)

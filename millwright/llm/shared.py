@@ -16,6 +16,17 @@ from millwright.sources.tables import removed
 _noted: list[list[str]] = []
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """A name like each of ``names`` that no column of ``df`` has, in whatever case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared checkpoint folder and read back."""
     spark = df.sparkSession

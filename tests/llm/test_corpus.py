@@ -425,6 +425,37 @@ def test_empty_tables(spark, empty):
     assert chat.chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+@pytest.mark.parametrize("extra", [("_key", "_row", "_lines", "_gone", "_kept", "_cuts"), ("_KEY", "_ROW", "N_GRAMS", "KEY", "Log_Weight", "_own_KEY")])
+def test_columns_of_any_name_pass_through(spark, extra):
+    r = random.Random(9)
+    base = [f"w{r.randrange(500)}" for _ in range(60)]
+    texts = [" ".join(base), " ".join(base), " ".join(f"v{r.randrange(500)}" for _ in range(60)), None, ""]
+    names = ["doc_id", "text", *extra]
+    rows = [(k, t, *[f"{k}-{c}" for c in extra]) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, ", ".join(f"{c} {'long' if c == 'doc_id' else 'string'}" for c in names)).repartition(2)
+    labels = spark.createDataFrame([(0, 1), (1, 1), (2, 1)], "doc_id long, quality int")
+
+    def own(out):
+        assert out.columns == names
+        got = {x["doc_id"]: tuple(x) for x in out.collect()}
+        assert all(v[2:] == rows[k][2:] for k, v in got.items())
+        return {k: v[1] for k, v in got.items()}
+
+    assert own(jaccard.one_of_each(docs)) == {k: texts[k] for k in (0, 2, 3, 4)}
+    assert own(line_dedup.deduplicated(docs)) == {k: texts[k] for k in (0, 2, 3, 4)}
+    assert own(repeats.without_repeats(docs)) == {0: texts[0], 1: "", 2: texts[2], 3: None, 4: ""}
+    assert set(own(importance.resampled(docs, labels))) <= set(range(5))
+
+
+def test_rows_without_an_id_draw_on_their_own(spark):
+    texts = [f"text number {k}" for k in range(50)]
+    docs = spark.createDataFrame([(None, t) for t in texts] + [(5, None), (5, "x")], "doc_id long, text string")
+    import numpy as np
+
+    keys = importance.weighed(docs, np.zeros(importance.N_BUCKETS), 7).collect()
+    assert len({x["key"] for x in keys if x["doc_id"] is None}) == 50
+
+
 def test_pipeline_keeps_columns_and_one_of_each(spark, tmp_path):
     import corpus_pipeline
 
