@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millwright.llm.shared import staged
 from millwright.llm.words import SpanHasher, WORD, find_words, mix, per_text, text_slices, window_hashes, windows_in_texts
 
 SYMBOLS = b"#*$%&|<>"
@@ -33,8 +34,6 @@ _CLASS[list(b".,;:'\"?()-")] = 4
 _CLASS[192:] = 6
 _CLASS[128:192] = N_CLASSES  # inside a longer code point: not counted
 COMMON = 50
-# A word is reported by a slice when it makes up 2**-13 of the slice's words in a language.
-SHARE_BITS = 13
 ALL = "\x00all"
 
 SCHEMA = (
@@ -90,7 +89,7 @@ def base_counts(data: np.ndarray, offsets: np.ndarray, hasher: SpanHasher):
 
 
 def _corpus_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per language: character classes and the frequent words of each slice."""
+    """Per language: character classes and the words of each slice, with their numbers."""
     hasher = SpanHasher()
     for batch in batches:
         langs = batch.column(1).to_pylist()
@@ -102,16 +101,14 @@ def _corpus_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             lang_of = index[found.owner()]
             totals = np.bincount(lang_of, minlength=len(names))
             hashes = hasher(data, found.starts, found.ends)
-            words, at, which = np.unique(mix(hashes + lang_of.astype(np.uint64)), return_index=True, return_inverse=True)
-            counts = np.bincount(which, minlength=len(words))
-            keep = (counts << SHARE_BITS) >= totals[lang_of[at]]
-            at, counts = at[keep], counts[keep]
-            out_lang = [*np.repeat(names, N_CLASSES), *names[lang_of[at]], *names]
-            kind = [*np.tile(np.arange(N_CLASSES), len(names)), *np.full(len(at), -1), *np.full(len(names), -2)]
-            word = [*np.zeros(N_CLASSES * len(names), np.int64), *hashes[at].astype(np.int64), *np.zeros(len(names), np.int64)]
-            n = [*classes.ravel(), *counts, *totals]
+            _, at, counts = np.unique(mix(hashes + lang_of.astype(np.uint64)), return_index=True, return_counts=True)
+            all_langs = np.arange(len(names))
+            out_lang = np.concatenate([np.repeat(all_langs, N_CLASSES), lang_of[at], all_langs])
+            kind = np.concatenate([np.tile(np.arange(N_CLASSES), len(names)), np.full(len(at), -1), np.full(len(names), -2)])
+            word = np.concatenate([np.zeros(N_CLASSES * len(names), np.int64), hashes[at].view(np.int64), np.zeros(len(names), np.int64)])
+            n = np.concatenate([classes.ravel(), counts, totals])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out_lang, pa.string()), pa.array(kind, pa.int32()), pa.array(word, pa.int64()), pa.array(n, pa.int64())],
+                [pa.array(list(names), pa.string()).take(pa.array(out_lang)), pa.array(kind.astype(np.int32)), pa.array(word), pa.array(n)],
                 names=["lang", "kind", "word", "n"],
             )
 
@@ -119,17 +116,19 @@ def _corpus_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def references(docs: DataFrame, max_languages: int = 256) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per language: class shares, common words, and their shares with the rest last.
 
-    Counted over all texts. At most ``max_languages`` languages (those with most words) and
+    Every word of every text is counted, by partial sums in the tasks first, so the references follow from
+    the rows alone. At most ``max_languages`` languages (those with most words, by name where equal) and
     :data:`COMMON` words of each reach the driver.
     """
     rows = docs.select(F.col("text").cast("string"), F.col("lang").cast("string")).mapInArrow(_corpus_counts, "lang string, kind int, word long, n long")
-    rows = rows.select(F.explode(F.array_distinct(F.array("lang", F.lit(ALL)))).alias("lang"), "kind", "word", "n")
     sums = rows.groupBy("lang", "kind", "word").agg(F.sum("n").alias("n"))
+    pooled = F.explode(F.array_distinct(F.array("lang", F.lit(ALL)))).alias("lang")
+    sums = sums.select(pooled, "kind", "word", "n").groupBy("lang", "kind", "word").agg(F.sum("n").alias("n"))
     top = sums.withColumn("r", F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "word"))).where(f"r <= {COMMON}")
-    top = top.withColumn("words", F.max(F.when(F.col("kind") == -2, F.col("n"))).over(Window.partitionBy("lang")))
-    top = top.orderBy(F.desc("words"), "lang").limit((max_languages + 1) * (COMMON + N_CLASSES + 1))
+    top = staged(top.drop("r"), "references")
+    largest = top.where("kind = -2").orderBy(F.desc("n"), (F.col("lang") != ALL), "lang").limit(max_languages + 1)
     found: dict[str, tuple] = {}
-    for r in top.collect():
+    for r in top.join(largest.select("lang"), "lang", "left_semi").collect():
         classes, words, total = found.setdefault(r["lang"], (np.zeros(N_CLASSES), {}, [0]))
         if r["kind"] >= 0:
             classes[r["kind"]] = r["n"]

@@ -351,6 +351,28 @@ def test_quality_rules_base_counts(docs, texts):
         assert r["base_failed"] == (len(w) < 50 or 100 * repeated > 50 * len(w)) and not (r["base_failed"] and r["kept"])
 
 
+def test_references_count_all_words_however_rows_are_dealt(spark):
+    r = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(400)]
+    langs = ["en", "de", None, "xx"]
+    rows = [(k, " ".join(r.choice(vocabulary[: 40 + 90 * (k % 4)]) for _ in range(r.randint(1, 300))), langs[k % 4]) for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = [rules.quality_rules(docs.repartition(n)).collect() for n in (1, 40)]
+    assert sorted(map(str, got[0])) == sorted(map(str, got[1]))
+    known = rules.references(docs.repartition(7))
+    assert set(known) == {"en", "de", "xx", rules.ALL}
+    for lang, (_, _, shares) in known.items():
+        counts = defaultdict(int)
+        for _, text, own in rows:
+            if lang in (own, rules.ALL):
+                for word in text.split():
+                    counts[word] += 1
+        best = sorted(counts.values(), reverse=True)[: rules.COMMON]
+        assert shares[:-1] == pytest.approx([n / sum(counts.values()) for n in best])
+    size = {lang: sum(len(text.split()) for _, text, own in rows if own == lang) for lang in ("en", "de", "xx")}
+    assert set(rules.references(docs, max_languages=2)) == {rules.ALL, *sorted(size, key=size.get)[1:]}
+
+
 def test_distance_is_that_of_jensen_and_shannon():
     import numpy as np
 
