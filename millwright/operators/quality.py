@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millwright.functions import clock
@@ -21,6 +21,15 @@ def _result(df: DataFrame, name: str, severity: str) -> DataFrame:
     )
 
 
+def _conditions(
+    not_null: Sequence[str], accepted: Mapping[str, Sequence[object]] | None, at_least: Mapping[str, float] | None
+) -> dict[str, Column]:
+    """Name of each row check and the condition of a row that fails it."""
+    conditions = {f"not_null:{c}": F.col(c).isNull() for c in not_null}
+    conditions |= {f"accepted_values:{c}": ~F.col(c).isin(list(v)) for c, v in (accepted or {}).items()}
+    return conditions | {f"accepted_range:{c}": F.col(c) < v for c, v in (at_least or {}).items()}
+
+
 def row_checks(
     df: DataFrame,
     not_null: Sequence[str] = (),
@@ -29,9 +38,7 @@ def row_checks(
     severity: str = "error",
 ) -> DataFrame:
     """Not-null, accepted-values and inclusive-minimum checks, all in one pass."""
-    conditions = {f"not_null:{c}": F.col(c).isNull() for c in not_null}
-    conditions |= {f"accepted_values:{c}": ~F.col(c).isin(list(v)) for c, v in (accepted or {}).items()}
-    conditions |= {f"accepted_range:{c}": F.col(c) < v for c, v in (at_least or {}).items()}
+    conditions = _conditions(not_null, accepted, at_least)
     counts = [F.count(F.when(cond, 1)).alias(f"c{i}") for i, cond in enumerate(conditions.values())]
     rows = [F.struct(F.lit(n).alias("nome"), F.col(f"c{i}").alias("falhas")) for i, n in enumerate(conditions)]
     flat = df.agg(*counts).select(F.inline(F.array(*rows)))
@@ -64,6 +71,100 @@ def relationship(
     return _result(orphans.agg(F.sum("n").alias("falhas")), f"relationships:{column}", severity)
 
 
+class WriteChecks:
+    """Row checks that are counted while ``rows`` are written, without a pass of their own.
+
+    Write ``rows`` (a DataFrame like ``df``) once, then ask for :meth:`failures` or :meth:`report`. The counts are
+    taken in the tasks that write. A stage that runs again after a lost executor may count rows twice, which
+    never turns a failed check into a passed one or the reverse.
+    """
+
+    def __init__(
+        self,
+        df: DataFrame,
+        not_null: Sequence[str] = (),
+        accepted: Mapping[str, Sequence[object]] | None = None,
+        at_least: Mapping[str, float] | None = None,
+        severity: str = "error",
+    ) -> None:
+        conditions = _conditions(not_null, accepted, at_least)
+        self.names, self.severity, self.spark = list(conditions), severity, df.sparkSession
+        self._seen = Observation()
+        counts = [F.count(F.when(c, 1)).alias(f"c{i}") for i, c in enumerate(conditions.values())]
+        self.rows = df.observe(self._seen, F.count(F.lit(1)).alias("n"), *counts)
+
+    def failures(self) -> dict[str, int]:
+        """Failed rows of each check; waits for the first action on ``rows``."""
+        seen = self._seen.get
+        return {n: int(seen.get(f"c{i}") or 0) for i, n in enumerate(self.names)}
+
+    def passed(self) -> bool:
+        return self.severity != "error" or not any(self.failures().values())
+
+    def report(self) -> DataFrame:
+        rows = [(n, k, self.severity if k else "pass") for n, k in self.failures().items()]
+        return self.spark.createDataFrame(rows, "teste string, falhas bigint, situacao string")
+
+
+def table_checks(
+    df: DataFrame,
+    unique_keys: Sequence[Sequence[str]] = (),
+    not_null: Sequence[str] = (),
+    accepted: Mapping[str, Sequence[object]] | None = None,
+    at_least: Mapping[str, float] | None = None,
+    parents: Mapping[str, tuple[DataFrame, str]] | None = None,
+    severity: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """All checks of a table in one scan: the rows of :func:`row_checks`, :func:`unique` and :func:`relationship`.
+
+    Every key that is checked is a grouping set, and the whole table one more; the tasks count by key before
+    anything is shuffled. The keys of ``parents`` (column: parent table and its column) are stacked below the
+    counts with a mark, so a reference is checked by the same grouping and no join. ``severity`` gives the
+    level by kind (``unique``, ``rows``, ``relationship``). NULL keys of one column are not checked; an empty table
+    passes everything.
+    """
+    level = {"unique": "error", "rows": "error", "relationship": "warn"} | dict(severity or {})
+    conditions, parents = _conditions(not_null, accepted, at_least), dict(parents or {})
+    sets = list(dict.fromkeys([(), *[tuple(k) for k in unique_keys], *[(c,) for c in parents]]))
+    keys = list(dict.fromkeys(c for s in sets for c in s))
+    counts = [F.count(F.when(c, 1)).alias(f"_c{i}") for i, c in enumerate(conditions.values())]
+    if not keys:
+        return row_checks(df, not_null, accepted, at_least, level["rows"])
+
+    def number(s: Sequence[str]) -> int:
+        # A bit for each key column that is not in the set, the first one highest.
+        return sum(1 << (len(keys) - 1 - i) for i, c in enumerate(keys) if c not in s)
+
+    grouped = df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in keys])
+    grouped = grouped.agg(F.grouping_id().cast("bigint").alias("_set"), F.count(F.lit(1)).alias("_n"), *counts)
+    if parents:
+        stacked = grouped.withColumn("_known", F.lit(0))
+        for c, (parent, column) in parents.items():
+            known = parent.select(F.col(column).cast(df.schema[c].dataType).alias(c)).distinct()
+            known = known.select(c, F.lit(number((c,))).cast("bigint").alias("_set"), F.lit(0).cast("bigint").alias("_n"), F.lit(1).alias("_known"))
+            stacked = stacked.unionByName(known, allowMissingColumns=True)
+        sums = [F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(counts))]
+        grouped = stacked.groupBy("_set", *keys).agg(F.sum("_n").alias("_n"), F.max("_known").alias("_known"), *sums)
+
+    found = []
+    for i, name in enumerate(conditions):
+        found.append((name, level["rows"], F.sum(F.when(F.col("_set") == number(()), F.col(f"_c{i}")))))
+    for key in unique_keys:
+        repeated = (F.col("_set") == number(key)) & (F.col("_n") > 1)
+        if len(key) == 1:
+            repeated &= F.col(key[0]).isNotNull()
+        found.append((f"unique:{','.join(key)}", level["unique"], F.count(F.when(repeated, 1))))
+    for c in parents:
+        orphan = (F.col("_set") == number((c,))) & F.col(c).isNotNull() & (F.col("_known") == 0)
+        found.append((f"relationships:{c}", level["relationship"], F.sum(F.when(orphan, F.col("_n")))))
+    totals = grouped.agg(*[F.coalesce(total, F.lit(0)).cast("bigint").alias(f"f{i}") for i, (_, _, total) in enumerate(found)])
+    rows = [
+        F.struct(F.lit(name).alias("teste"), F.col(f"f{i}").alias("falhas"), F.when(F.col(f"f{i}") > 0, lvl).otherwise("pass").alias("situacao"))
+        for i, (name, lvl, _) in enumerate(found)
+    ]
+    return totals.select(F.inline(F.array(*rows)))
+
+
 def freshness(df: DataFrame, ts: str, as_of: AsOf, warn_days: int = 2, error_days: int = 7) -> DataFrame:
     """Age of the newest row against the warning and error limits; an empty table is an error."""
     age = F.col("atraso_segundos")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -85,12 +85,15 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("compression", "zstd").parquet(path)
 
 
-def full_refresh(df: DataFrame, path: str, as_of: AsOf, keep_when_empty: bool = True) -> bool:
+def full_refresh(
+    df: DataFrame, path: str, as_of: AsOf, keep_when_empty: bool = True, accept: Callable[[], bool] | None = None
+) -> bool:
     """Replace a table and stamp ``loaded_at``; an empty source leaves the old data.
 
     The source is computed once, into a folder of its own. Readers (:func:`read_refreshed`) see the old rows until the version
     that names the new folder has ended, so ``df`` may read the table itself and a job killed half way changes
-    nothing. Returns whether the table was replaced. One writer at a time.
+    nothing. ``accept`` is asked after the rows are written (``quality.WriteChecks.passed`` tells what the write
+    counted); where it refuses, the old rows stay. Returns whether the table was replaced. One writer at a time.
     """
     spark, load = df.sparkSession, f"r{uuid.uuid4().hex}"
     rows = df.withColumn("loaded_at", clock.ntz(as_of))
@@ -98,6 +101,9 @@ def full_refresh(df: DataFrame, path: str, as_of: AsOf, keep_when_empty: bool =
     if keep_when_empty and spark.read.schema(rows.schema).parquet(f"{path}/load={load}").isEmpty():
         removed(spark, f"{path}/load={load}")
         return False
+    if accept is not None and not accept():
+        removed(spark, f"{path}/load={load}")
+        return False
     _publish(spark, path, _current(spark, path)[0] + 1, {WHOLE: load}, rows.schema)
     return True
 

@@ -59,6 +59,13 @@ WITH f AS (
   UNION ALL SELECT 'accepted_range:l_quantity', 'warn', (SELECT count(*) FROM lineitem WHERE l_quantity < 5)
   UNION ALL SELECT 'relationships:user_id', 'warn', (SELECT count(*) FROM events WHERE user_id NOT IN (SELECT s_suppkey FROM supplier)))
 SELECT teste, falhas, CASE WHEN falhas > 0 THEN sev ELSE 'pass' END AS situacao FROM f"""
+CHECKED = """
+WITH b AS (SELECT 1 AS lote, * FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT 2, * FROM orders), f AS (
+  SELECT lote, 'not_null:o_orderkey' AS teste, count(*) FILTER (o_orderkey IS NULL) AS falhas FROM b GROUP BY lote
+  UNION ALL SELECT lote, 'accepted_values:o_orderstatus', count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) FROM b GROUP BY lote
+  UNION ALL SELECT lote, 'accepted_range:o_totalprice', count(*) FILTER (o_totalprice < 0) FROM b GROUP BY lote)
+SELECT teste, falhas, CASE WHEN falhas > 0 THEN 'error' ELSE 'pass' END AS situacao, lote FROM f
+UNION ALL SELECT 'linhas', count(*), '2024-01-01', 0 FROM orders WHERE o_orderstatus <> 'P'"""
 FRESHNESS = """
 SELECT 'freshness:ts' AS teste, m AS ultima_carga, date_diff('second', m, TIMESTAMP '2024-02-03') AS atraso_segundos,
        CASE WHEN date_diff('second', m, TIMESTAMP '2024-02-03') > 7 * 86400 THEN 'error' WHEN date_diff('second', m, TIMESTAMP '2024-02-03') > 2 * 86400 THEN 'warn' ELSE 'pass' END AS situacao

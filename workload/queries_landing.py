@@ -172,15 +172,32 @@ def backfill_extract(s: SparkSession, d: str) -> DataFrame:
 def quality_report(s: SparkSession, d: str) -> DataFrame:
     lines, events = table(s, d, "lineitem"), table(s, d, "events")
     return quality.report(
-        quality.unique(lines, ["l_orderkey", "l_linenumber"]),
-        quality.unique(table(s, d, "orders"), ["o_orderkey"]),
-        quality.row_checks(
-            lines, not_null=["l_partkey"], accepted={"l_returnflag": ["A", "N"]}, at_least={"l_quantity": 5}, severity="warn"
+        quality.table_checks(
+            lines,
+            unique_keys=[["l_orderkey", "l_linenumber"]],
+            not_null=["l_partkey"],
+            accepted={"l_returnflag": ["A", "N"]},
+            at_least={"l_quantity": 5},
+            severity={"rows": "warn"},
         ),
-        quality.relationship(events, "user_id", table(s, d, "supplier"), "s_suppkey"),
+        quality.table_checks(table(s, d, "orders"), unique_keys=[["o_orderkey"]]),
+        quality.table_checks(events, parents={"user_id": (table(s, d, "supplier"), "s_suppkey")}),
     )
 
 
+def refreshes_checked(s: SparkSession, d: str) -> DataFrame:
+    """Two full refreshes whose checks are counted by the write; the second fails one and the first load stays."""
+    path, orders = _folder(s, "checked"), table(s, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    reports = []
+    for batch, rows in ((1, orders.where("o_orderstatus <> 'P'")), (2, orders)):
+        checks = quality.WriteChecks(rows, not_null=["o_orderkey"], accepted={"o_orderstatus": ["F", "O"]}, at_least={"o_totalprice": 0})
+        tables.full_refresh(checks.rows, path, f"2024-01-0{batch} 00:00:00", accept=checks.passed)
+        reports.append(checks.report().withColumn("lote", F.lit(batch)))
+    day = F.date_format(F.max("loaded_at"), "yyyy-MM-dd")
+    state = tables.read_refreshed(s, path).agg(F.count(F.lit(1)).alias("falhas"), day.alias("situacao"))
+    return quality.report(*reports, state.select(F.lit("linhas").alias("teste"), "falhas", "situacao", F.lit(0).alias("lote")))
+
+
 def event_freshness(s: SparkSession, d: str) -> DataFrame:
     return quality.freshness(table(s, d, "events"), "ts", "2024-02-03 00:00:00")
 
@@ -302,6 +319,7 @@ QUERIES = {
     "last_order_ids": (last_orders, sql.LAST_IDS),
     "backfill_extract": (backfill_extract, sql.BACKFILL),
     "quality_report": (quality_report, sql.QUALITY),
+    "refreshes_checked": (refreshes_checked, sql.CHECKED),
     "event_freshness": (event_freshness, sql.FRESHNESS),
     "machine_completeness": (machine_completeness, sql.COMPLETENESS),
     "plant_files_round_trip": (plants_round_trip, sql.PLANT_FILES),
