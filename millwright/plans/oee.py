@@ -298,7 +298,8 @@ def _pct(c: Column) -> Column:
 def with_oee(components: DataFrame) -> DataFrame:
     """OEE, loss pillars and useful/good time (text and seconds) next to the components."""
     u = F.col("tempo_util")
-    good = (u * oee_ratio()).cast("int")
+    # A month of a large plant has more seconds than an int holds.
+    good = (u * oee_ratio()).cast("bigint")
     return components.withColumns(
         {
             "pct_oee": _pct(oee_ratio()),
