@@ -51,12 +51,14 @@ def join_sparse(fact: DataFrame, other: DataFrame, keys: Sequence[str], optional
     """Left join on keys of which ``optional`` is often NULL.
 
     Rows without the key match nothing; they are spread by another column, or by all of them, instead of
-    meeting in the partition of the NULL key.
+    meeting in the partition of the NULL key. The other side's constant is written as an expression of the key:
+    a plain literal is folded into the condition, and the join then deals by the keys alone.
     """
     by = [spread_by] if spread_by else [F.col(f"`{c}`") for c in fact.columns]
     spread = F.when(F.col(optional).isNull(), F.pmod(F.xxhash64(*by), F.lit(1024))).otherwise(F.lit(-1))
+    always = F.pmod(F.xxhash64(F.col(f"`{optional}`")), F.lit(1)) - F.lit(1)
     return (
         fact.withColumn("_spread", spread.cast("bigint"))
-        .join(other.withColumn("_spread", F.lit(-1).cast("bigint")), [*keys, "_spread"], "left")
+        .join(other.withColumn("_spread", always.cast("bigint")), [*keys, "_spread"], "left")
         .drop("_spread")
     )

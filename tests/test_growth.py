@@ -1,8 +1,34 @@
 """Steps whose sums, partitions or buffers grow with the tables."""
 
+import pytest
+from pyspark.sql import functions as F
+
+from millwright.operators.joins import join_sparse
 from millwright.plans.oee import COMPONENTS, with_oee
 
 
+@pytest.fixture
+def dealt(spark):
+    """Joins are dealt by their keys alone, over eight partitions."""
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_rows_without_the_sparse_key_are_spread(dealt):
+    fact = dealt.range(8000).select("id", F.lit(20).alias("p"), F.when(F.col("id") % 2 == 1, F.col("id")).alias("g"))
+    other = dealt.range(100).select(F.lit(20).alias("p"), F.col("id").cast("int").alias("g"), F.lit("x").alias("v"))
+    out = join_sparse(fact, other, ["p", "g"], "g", "id")
+    sizes = out.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in sizes) < 2000
+    assert out.count() == 8000
+    assert out.where("v = 'x'").count() == 50
+
+
 def test_good_seconds_beyond_an_int(spark):
     zeros = ", ".join(f"0D AS {c}" for c in COMPONENTS)
     row = with_oee(spark.sql(f"SELECT 6725878570L AS tempo_util, {zeros}")).first()
