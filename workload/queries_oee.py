@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.functions import codes
@@ -22,7 +22,17 @@ def as_double(df: DataFrame, *names: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(F.col(n).cast("double"), 6) for n in names})
+    """The named columns to six decimals.
+
+    One expression rounds them all: code written out per column makes a generated method larger than the JVM
+    compiles. Zeros, often most of a column, need no decimal arithmetic; a negative zero rounds to zero.
+    """
+
+    def six(c: Column) -> Column:
+        return F.when(c == 0, F.lit(0.0)).otherwise(F.round(c, 6))
+
+    out = df.withColumn("_rounded", F.transform(F.array(*[F.col(n).cast("double") for n in names]), six))
+    return out.withColumns({n: F.get(F.col("_rounded"), F.lit(i)) for i, n in enumerate(names)}).drop("_rounded")
 
 
 def _oee(grain: str):
