@@ -19,161 +19,155 @@ empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millwright.llm.jaccard import (
-    BLOCK,
-    NO_ID,
-    Forest,
-    RarestFirst,
-    bit_lists,
-    bitmaps,
-    frequent_tokens,
-    may_link,
-    set_ids,
-    shards,
-    token_sets,
-)
-from millwright.llm.shared import marked, marks, staged, unused
-from millwright.llm.words import SpanHasher, text_slices
-
-LINE_BITS = 256
+from millwright.llm.jaccard import BLOCK, NO_ID, N, may_link
+from millwright.llm.shared import MAX_MARKS, staged, unused
+
+# A token that so many lines have among their rarest ones is frequent.
+FREQUENT = 64
 # A line's place in the order of all lines.
 FIRST = ("doc", "row", "line")
+UPPER, SPACES = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "\t\n\x0b\x0c\r"
+PART_BITS = 32768
 
 
 def row_key() -> Column:
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
-def line_offsets(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Bounds of all lines of all texts; an empty text has no line of its own here."""
-    return np.union1d(offsets, np.flatnonzero(data == 0x0A) + 1)
+def split_lines(rows: DataFrame) -> DataFrame:
+    """``(doc, row, line, words)``: the lines of ``rows(doc, row, text)`` that have a word, as text."""
+    lines = rows.select("doc", "row", F.posexplode(F.split("text", "\n")).alias("line", "words"))
+    return lines.where(F.col("words").rlike(r"[^\x20\x09-\x0D]"))
+
+
+def with_tokens(lines: DataFrame) -> DataFrame:
+    """The distinct tokens of each line, in the order of their hashes, in place of its ``words``; its ``set`` and their number ``n``."""
+    others = [c for c in lines.columns if c != "words"]
+    # Only A-Z are folded: `lower` does no more where every character is one byte.
+    plain = F.octet_length("words") == F.length("words")
+    for blank in SPACES:
+        plain &= ~F.contains("words", F.lit(blank))
+    folded = F.when(plain, F.lower("words")).otherwise(F.translate("words", UPPER + SPACES, UPPER.lower() + " " * len(SPACES)))
+    hashes = lines.select(*others, F.transform(F.array_remove(F.split(folded, " "), ""), lambda word: F.xxhash64(word)).alias("hashes"))
+    heads = F.slice("hashes", 1, F.greatest(F.size("hashes") - (N - 1), F.lit(1)))
+    grams = F.transform(heads, lambda first, i: F.xxhash64(first, *[F.get("hashes", i + j) for j in range(1, N)]))
+    sets = hashes.select(*others, F.sort_array(F.array_distinct(grams)).alias("tokens"))
+    return sets.select(*others, F.xxhash64("tokens").alias("set"), F.size("tokens").alias("n"), "tokens")
+
 
+def prefix_size(n: Column) -> Column:
+    """So many of the first tokens of two matching sets, in any one order, have one in common."""
+    return n - F.floor((8 * n + 9) / 10).cast("int") + 1
 
-def _numbered(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bounds of lines, the text of each, and its number in it."""
-    bounds = line_offsets(data, offsets)
-    owner = np.searchsorted(offsets, bounds[:-1], "right") - 1
-    first = np.searchsorted(bounds, offsets[owner])
-    return bounds, owner, np.arange(len(owner)) - first
 
+def line_features(rows: DataFrame) -> DataFrame:
+    """``(doc, row, line, set, n, prefix)`` of the lines that have a word."""
+    return with_tokens(split_lines(rows)).select(*FIRST, "set", "n", F.slice("tokens", 1, prefix_size(F.col("n"))).alias("prefix"))
 
-LINES = "doc long, row long, line int, set long, n long, bits array<long>, prefix array<long>, n_rare int"
 
+def tokens_of(needed: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(set, tokens)`` of the sets in ``needed(set)``, built again from the texts.
 
-def line_features(rows: DataFrame, listed: np.ndarray, ranks: np.ndarray) -> DataFrame:
-    """Sets and rarest tokens of the lines that have a word; ``rows(doc, row, text)``."""
-    shared = rows.sparkSession.sparkContext.broadcast((listed, ranks))
+    Lines are picked by a bitmap of the first places of the sets, of sixteen bits a set and at most :data:`MAX_MARKS`.
+    """
+    at_line = F.xxhash64("row", "line")
+    places = staged(sets.join(needed, "set", "left_semi").select(at_line.alias("at")), "line-places")
+    size = min(MAX_MARKS, max(1 << 16, 1 << (16 * places.count()).bit_length()))
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, hasher = RarestFirst(*shared.value), SpanHasher()
-        for batch in batches:
-            for i, _, data, offsets in text_slices(batch.column(2)):
-                bounds, owner, number = _numbered(data, offsets)
-                tokens, sets = token_sets(data, bounds, hasher)
-                some = np.flatnonzero(np.diff(sets))
-                ids = set_ids(tokens, sets)[some]
-                n = np.diff(sets)[some]
-                sets = np.concatenate([[0], np.cumsum(n)])
-                flat, to, n_rare = order(tokens, sets)
-                at = pa.array(i + owner[some])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(at),
-                        batch.column(1).take(at),
-                        pa.array(number[some].astype(np.int32)),
-                        pa.array(ids.view(np.int64)),
-                        pa.array(n),
-                        bit_lists(bitmaps(tokens, sets, LINE_BITS)),
-                        pa.ListArray.from_arrays(pa.array(to), pa.array(flat.view(np.int64))),
-                        pa.array(n_rare),
-                    ],
-                    names=[x.split()[0] for x in LINES.split(", ")],
-                )
+    def part(at: Column) -> Column:
+        return F.floor(F.pmod(at, F.lit(size)) / PART_BITS).cast("int")
 
-    return rows.mapInArrow(build, LINES)
+    bits = places.groupBy(part(F.col("at")).alias("part")).agg(F.bitmap_construct_agg(F.pmod("at", F.lit(PART_BITS))).alias("bits"))
+    lines = split_lines(rows).withColumn("at", at_line)
+    lines = lines.withColumn("part", part(F.col("at"))).join(F.broadcast(bits), "part")
+    bit = F.pmod("at", F.lit(PART_BITS)).cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    lines = lines.where(byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), F.pmod(bit, F.lit(8)) + 1)) != 0)
+    tokens = with_tokens(lines.select("words")).join(needed, "set", "left_semi")
+    return staged(tokens.select("set", "tokens").dropDuplicates(["set"]), "line-tokens")
 
 
 def passes(na: Column, nb: Column, pa_: Column, pb: Column) -> Column:
     """Length and positional filter for two lines that first share a token at the given places.
 
-    Places count only for listed tokens; for others they are 0, which filters by length alone.
+    The place in a shard of several tokens is the least, which allows the most.
     """
     return may_link(na, nb, F.least(na - pa_, nb - pb))
 
 
-def matching(pairs: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose sets have the similarity; sets are built again from the texts."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-    shared = rows.sparkSession.sparkContext.broadcast(
-        (marks(sets.join(needed, "set", "left_semi").select("row").distinct(), "row"), marks(needed, "set"))
-    )
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = SpanHasher()
-        wanted_rows, wanted_sets = shared.value
-        for batch in batches:
-            batch = batch.filter(pa.array(marked(wanted_rows, batch.column(1).to_numpy())))
-            for _, _, data, offsets in text_slices(batch.column(2)):
-                tokens, bounds = token_sets(data, line_offsets(data, offsets), hasher)
-                ids = set_ids(tokens, bounds).view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(tokens.view(np.int64)))
-                some = pa.array(marked(wanted_sets, ids) & (np.diff(bounds) > 0))
-                yield pa.RecordBatch.from_arrays([pa.array(ids), lists], names=["set", "tokens"]).filter(some)
-
-    tokens = rows.mapInArrow(build, "set long, tokens array<long>").join(needed, "set", "left_semi").dropDuplicates(["set"])
-    tokens = staged(tokens, "line-tokens")
+def matching(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose sets have the similarity."""
     left, right = tokens.withColumnsRenamed({"set": "a", "tokens": "ta"}), tokens.withColumnsRenamed({"set": "b", "tokens": "tb"})
     both = pairs.join(left, "a").join(right, "b")
     overlap = F.size(F.array_intersect("ta", "tb"))
     return both.where(may_link(F.size("ta"), F.size("tb"), overlap)).select("a", "b")
 
 
-UNITS = "unit long, side_a int, side_b int, block int, set long, doc long, row long, line int, n long, pos int, bits array<long>, found boolean"
-
-
-def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a line still searched for (b) and an earlier one (a) that pass the filters."""
-    parts = [b for b in batches if b.num_rows]
-    if not parts:
-        return
-    order = [(c, "ascending") for c in ("unit", "side_a", "side_b", "n", "set")]
-    table = pa.Table.from_batches(parts).combine_chunks().sort_by(order)
-    get = {c: table.column(c).to_numpy() for c in table.column_names if c != "bits"}
-    bits = table.column("bits").combine_chunks()
-    bits = (bits.chunk(0) if isinstance(bits, pa.ChunkedArray) else bits).flatten().to_numpy().reshape(table.num_rows, -1).view(np.uint64)
-    change = np.zeros(table.num_rows, bool)
-    for c in ("unit", "side_a", "side_b"):
-        change[1:] |= get[c][1:] != get[c][:-1]
-    rank = np.empty(table.num_rows, np.int64)
-    rank[np.lexsort((get["line"], get["row"], get["doc"]))] = np.arange(table.num_rows)
-    n, pos = get["n"].astype(np.int64), get["pos"].astype(np.int64)
-    # Lines that are found already need no pairs among themselves.
-    forest = Forest(np.cumsum(change), bits, n, np.where(get["found"], -1, rank))
-    for x, y in forest.pairs():
-        early, late = np.where(rank[x] < rank[y], x, y), np.where(rank[x] < rank[y], y, x)
-        good = ~get["found"][late] & ((get["side_a"][x] == get["side_b"][x]) | (get["block"][x] != get["block"][y]))
-        good &= 9 * np.minimum(n[x] - pos[x], n[y] - pos[y]) >= 4 * (n[x] + n[y])
-        yield pa.RecordBatch.from_arrays([pa.array(get["set"][early[good]]), pa.array(get["set"][late[good]])], names=["a", "b"])
-
-
-def near_copies(sets: DataFrame, rows: DataFrame) -> DataFrame:
+def meeting(entries: DataFrame) -> DataFrame:
+    """Those of ``entries(token, set, pos)`` whose token two or more sets have, each once; ``size`` of them."""
+    own = Window.partitionBy("token")
+    shared = entries.select("*", F.min("set").over(own).alias("lo"), F.max("set").over(own).alias("hi")).where("lo < hi")
+    return shared.groupBy("token", "set").agg(F.min("pos").alias("pos")).withColumn("size", F.count(F.lit(1)).over(own))
+
+
+def prefix_entries(lines: DataFrame) -> DataFrame:
+    return lines.select("set", F.posexplode("prefix").alias("pos", "token"))
+
+
+def shards(lines: DataFrame, met: DataFrame, tokens: DataFrame) -> DataFrame:
+    """``(shard, set, pos)``: where sets meet, by the rarest tokens of each; ``tokens`` of those that ``met`` by hash.
+
+    Tokens are ordered by their hashes first, as in ``lines``. Those that :data:`FREQUENT` or more sets then have in their prefix,
+    and others as frequent in these sets, come last instead, by rising count. Only sets whose
+    prefix that changes are looked at again: a listed token is in no prefix of any other set.
+    """
+    hot = staged(met.where(F.col("size") >= FREQUENT).select("set").distinct(), "line-hot")
+    if not hot.isEmpty():
+        again = reordered(lines, hot, tokens.join(hot, "set", "left_semi"))
+        names = staged(again.select("token").distinct(), "line-names")
+        others = prefix_entries(lines).join(names, "token", "left_semi").join(hot, "set", "left_anti")
+        again = meeting(again.select("token", "set", "pos").unionByName(others.select("token", "set", "pos")))
+        met = met.join(hot, "set", "left_anti")
+        # A token that sets of both kinds have is in `again` whole.
+        met = met.select("token", "set", "pos").unionByName(again.select("token", "set", "pos"))
+        met = met.groupBy("token", "set").agg(F.min("pos").alias("pos"))
+    # Tokens that the same sets have are one shard.
+    named = met.withColumn("shard", F.bit_xor(F.xxhash64("set")).over(Window.partitionBy("token")))
+    return named.groupBy("shard", "set").agg(F.min("pos").alias("pos"))
+
+
+def reordered(lines: DataFrame, hot: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The entries ``(token, set, pos)`` of the sets in ``hot``, by the order that has frequent tokens last."""
+    every = tokens.select("set", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    listed = staged(every.groupBy("token").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") >= FREQUENT), "frequent")
+    taken = prefix_entries(lines).join(listed, "token", "left_semi").join(hot, "set", "left_anti")
+    listed = staged(listed.join(taken.select("token").distinct(), "token", "left_anti"), "frequent")
+    ordered = every.join(listed, "token", "left").groupBy("set", "n").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("many", F.lit(0)).alias("many"), "token"))).alias("order")
+    )
+    firsts = ordered.select("set", F.posexplode(F.slice("order", 1, prefix_size(F.col("n")))).alias("pos", "entry"))
+    return staged(firsts.select(F.col("entry.token").alias("token"), "set", "pos"), "line-entries")
+
+
+def near_copies(lines: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
     """Sets that an earlier, different set matches; ``sets`` has one row per set with its first place."""
     place = F.struct(*FIRST)
-    where = shards(sets).join(sets.select("set", "n", *FIRST), "set")
-    where = staged(where, "line-shards")
+    met = staged(meeting(prefix_entries(lines)), "line-met")
+    tokens = tokens_of(met.select("set").distinct(), sets, rows)
+    where = staged(shards(lines, met, tokens).join(sets, "set"), "line-shards")
     pivots = where.groupBy("shard").agg(
         F.min(F.struct(*FIRST, "set", "n", "pos")).alias("earliest"),
         F.min(F.struct("pos", *FIRST, "set", "n")).alias("least"),
         F.count(F.lit(1)).alias("size"),
     )
     where = staged(where.join(pivots.where("size > 1"), "shard"), "line-shards")
+    # Sets that meet others by the new order alone.
+    lacking = staged(where.select("set").distinct().join(tokens.select("set"), "set", "left_anti"), "line-lacking")
+    if not lacking.isEmpty():
+        tokens = tokens.unionByName(tokens_of(lacking, sets, rows))
     tried = where.withColumn("p", F.explode(F.array_distinct(F.array(*[
         F.struct(F.col(f"{k}.set").alias("set"), F.col(f"{k}.n").alias("n"), F.col(f"{k}.pos").alias("pos"), F.struct(*[F.col(f"{k}.{c}") for c in FIRST]).alias("place"))
         for k in ("earliest", "least")
@@ -182,32 +176,28 @@ def near_copies(sets: DataFrame, rows: DataFrame) -> DataFrame:
     before = F.col("p.place") < place
     tried = tried.select(F.when(before, F.col("p.set")).otherwise(F.col("set")).alias("a"), F.when(before, F.col("set")).otherwise(F.col("p.set")).alias("b"))
     tried = staged(tried.distinct(), "line-pairs")
-    found = staged(matching(tried, sets, rows).select(F.col("b").alias("set")).distinct(), "line-found")
+    found = staged(matching(tried, tokens).select(F.col("b").alias("set")).distinct(), "line-found")
 
     marked = where.where("size > 2").select("shard", "set", "pos", "size").join(found.withColumn("_f", F.lit(True)), "set", "left")
     marked = marked.withColumn("found", F.col("_f").isNotNull()).drop("_f")
     open_shards = marked.groupBy("shard").agg(F.sum((~F.col("found")).cast("long")).alias("open")).where("open > 0").select("shard")
-    left = marked.join(open_shards, "shard", "left_semi").join(sets.select("set", "n", "bits", *FIRST), "set")
+    left = marked.join(open_shards, "shard", "left_semi").join(sets, "set")
+    # Earlier sets are dealt over blocks of a large shard; an open one is held against each block.
     n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    left = left.withColumn("block", F.pmod(F.hash("set"), n_blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-    units = left.select(
-        F.col("shard").alias("unit"), F.least("block", "other").cast("int").alias("side_a"), F.greatest("block", "other").cast("int").alias("side_b"),
-        "block", "set", *FIRST, F.col("n"), F.col("pos"), "bits", "found",
-    )
-    more = units.repartition("unit", "side_a", "side_b").mapInArrow(_search, "a long, b long").distinct()
+    early = left.select("shard", F.pmod(F.hash("set"), n_blocks).cast("int").alias("block"), F.col("set").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), place.alias("place_a"))
+    late = left.where(~F.col("found")).select("shard", F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("block"), F.col("set").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), place.alias("place_b"))
+    more = early.join(late, ["shard", "block"]).where((F.col("place_a") < F.col("place_b")) & passes(F.col("na"), F.col("nb"), F.col("pa"), F.col("pb"))).select("a", "b").distinct()
     more = staged(more.join(tried, ["a", "b"], "left_anti"), "line-pairs")
-    return found.unionAll(matching(more, sets, rows).select(F.col("b").alias("set"))).distinct()
+    return found.unionAll(matching(more, tokens).select(F.col("b").alias("set"))).distinct()
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """``(row, lines)``: the numbers of the lines to remove from each row of ``docs(doc_id, text)`` that loses any."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), row_key().alias("row"), F.col("text").cast("string"))
-    listed = frequent_tokens(rows.select("doc", "text"), line_offsets)
-    lines = staged(line_features(rows, *listed), "lines")
-    firsts = staged(lines.groupBy("set").agg(F.min(F.struct(*FIRST)).alias("first")).select("set", "first.*"), "first-lines")
-    sets = staged(lines.join(firsts, ["set", *FIRST], "left_semi").dropDuplicates(["set", *FIRST]), "line-sets")
-    near = near_copies(sets, rows).withColumn("_near", F.lit(True))
-    fate = firsts.withColumnsRenamed({c: f"_{c}" for c in FIRST}).join(near, "set", "left")
+    lines = staged(line_features(rows), "lines")
+    sets = staged(lines.groupBy("set").agg(F.min("n").alias("n"), F.min(F.struct(*FIRST)).alias("first")).select("set", "n", "first.*"), "line-sets")
+    near = near_copies(lines, sets, rows).withColumn("_near", F.lit(True))
+    fate = sets.drop("n").withColumnsRenamed({c: f"_{c}" for c in FIRST}).join(near, "set", "left")
     judged = lines.select("set", *FIRST).join(fate, "set")
     later = (F.col("doc") != F.col("_doc")) | (F.col("row") != F.col("_row")) | (F.col("line") != F.col("_line"))
     return judged.where(later | F.col("_near").isNotNull()).groupBy("row").agg(F.sort_array(F.collect_set("line")).alias("lines"))
@@ -237,10 +227,7 @@ def lines_to_remove(docs: DataFrame) -> tuple[DataFrame, str, str]:
 
 def line_report(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_lines, n_removed, removed_lines)`` per row; line numbers count from 0."""
-    out, lines, gone = lines_to_remove(docs)
-    return out.select(
-        F.col("doc_id").cast("long"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.size(gone).cast("long").alias("n_removed"),
-        F.col(gone).alias("removed_lines"),
-    )
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), n_lines.alias("n_lines"), row_key().alias("row"))
+    gone = F.coalesce("lines", F.array().cast("array<int>"))
+    return rows.join(removed_lines(docs), "row", "left").select("doc_id", "n_lines", F.size(gone).cast("long").alias("n_removed"), gone.alias("removed_lines"))
