@@ -71,7 +71,8 @@ def line_features(rows: DataFrame) -> DataFrame:
 def tokens_of(needed: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
     """``(set, tokens)`` of the sets in ``needed(set)``, built again from the texts.
 
-    Lines are picked by a bitmap of the first places of the sets, of sixteen bits a set and at most :data:`MAX_MARKS`.
+    Lines are picked by a bitmap of the first places of the sets, of sixteen bits a set and at most :data:`MAX_MARKS`,
+    so a few other sets are among them; a set may come twice where rows are equal. Nothing is shuffled for either.
     """
     at_line = F.xxhash64("row", "line")
     places = staged(sets.join(needed, "set", "left_semi").select(at_line.alias("at")), "line-places")
@@ -86,8 +87,7 @@ def tokens_of(needed: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
     bit = F.pmod("at", F.lit(PART_BITS)).cast("int")
     byte = F.conv(F.hex(F.substring("bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     lines = lines.where(byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), F.pmod(bit, F.lit(8)) + 1)) != 0)
-    tokens = with_tokens(lines.select("words")).join(needed, "set", "left_semi")
-    return staged(tokens.select("set", "tokens").dropDuplicates(["set"]), "line-tokens")
+    return staged(with_tokens(lines.select("words")).select("set", "tokens"), "line-tokens")
 
 
 def passes(na: Column, nb: Column, pa_: Column, pb: Column) -> Column:
@@ -100,10 +100,10 @@ def passes(na: Column, nb: Column, pa_: Column, pb: Column) -> Column:
 
 def matching(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     """Those of ``pairs(a, b)`` whose sets have the similarity."""
-    left, right = tokens.withColumnsRenamed({"set": "a", "tokens": "ta"}), tokens.withColumnsRenamed({"set": "b", "tokens": "tb"})
-    both = pairs.join(left, "a").join(right, "b")
+    # Each side is joined with the pairs alone: these are small, and of the tokens only what they need is shuffled.
+    left, right = (pairs.join(tokens.withColumnsRenamed({"set": c, "tokens": f"t{c}"}), c) for c in ("a", "b"))
     overlap = F.size(F.array_intersect("ta", "tb"))
-    return both.where(may_link(F.size("ta"), F.size("tb"), overlap)).select("a", "b")
+    return left.join(right, ["a", "b"]).where(may_link(F.size("ta"), F.size("tb"), overlap)).select("a", "b")
 
 
 def meeting(entries: DataFrame) -> DataFrame:
@@ -126,7 +126,7 @@ def shards(lines: DataFrame, met: DataFrame, tokens: DataFrame) -> DataFrame:
     """
     hot = staged(met.where(F.col("size") >= FREQUENT).select("set").distinct(), "line-hot")
     if not hot.isEmpty():
-        again = reordered(lines, hot, tokens.join(hot, "set", "left_semi"))
+        again = reordered(lines, hot, tokens.join(hot, "set", "left_semi").dropDuplicates(["set"]))
         names = staged(again.select("token").distinct(), "line-names")
         others = prefix_entries(lines).join(names, "token", "left_semi").join(hot, "set", "left_anti")
         again = meeting(again.select("token", "set", "pos").unionByName(others.select("token", "set", "pos")))
