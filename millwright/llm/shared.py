@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.session import checkpoint_dir
@@ -37,6 +37,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query that runs meanwhile are removed when it ends, not when the driver collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 @contextmanager
 def noted_folders() -> Iterator[list[str]]:
     """The folders that :func:`staged` writes meanwhile."""
@@ -45,7 +57,8 @@ def noted_folders() -> Iterator[list[str]]:
     try:
         yield folders
     finally:
-        _noted.remove(folders)
+        # Lists may be equal, so not `remove`.
+        _noted[:] = [kept for kept in _noted if kept is not folders]
 
 
 def release(df: DataFrame, folders: list[str]) -> None:
