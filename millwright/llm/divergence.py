@@ -44,7 +44,7 @@ TERM[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 # Numbers are kept as raw 32-bit integers: ``at`` has the bounds of the terms in ``data``, ``first`` those of the documents in ``term`` and ``n``.
 CHUNK = "lang string, lang_key long, sources array<string>, data binary, at binary, first binary, doc_source binary, term binary, n binary"
 # Rows that a task gathers before it adds them up and passes them on.
-GATHERED = 2_000_000
+GATHERED = 1_250_000
 
 
 def _raw(values: np.ndarray) -> pa.Array:
@@ -52,26 +52,66 @@ def _raw(values: np.ndarray) -> pa.Array:
     return pa.array([values.astype("<i4").tobytes()], pa.binary())
 
 
+def _coded(codes: np.ndarray, names: pa.Array) -> pa.DictionaryArray:
+    """``names`` at ``codes`` as a dictionary column that holds each name in use once."""
+    used = np.zeros(len(names), bool)
+    used[codes] = True
+    return pa.DictionaryArray.from_arrays((np.cumsum(used, dtype=np.int32) - np.int32(1))[codes], names.take(pa.array(np.flatnonzero(used))))
+
+
 def _added_up(batches: Iterator[pa.RecordBatch], keys: list[str], sums: list[str]) -> Iterator[pa.RecordBatch]:
-    """Batches with equal keys added up within a task, so that Spark gets fewer rows; memory is bounded by :data:`GATHERED` rows."""
+    """Batches with equal keys added up within a task, so that Spark gets fewer rows; memory is bounded by :data:`GATHERED` rows.
+
+    The key is one 64-bit column, or dictionaries, whose rows are told apart by their codes: no text is held once per row.
+    """
 
-    def compact(gathered: list[pa.RecordBatch | pa.Table]) -> pa.Table:
-        tables = [pa.Table.from_batches([b]) if isinstance(b, pa.RecordBatch) else b for b in gathered]
-        total = pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([(c, "sum") for c in sums])
-        return total.rename_columns([*keys, *sums] if total.column_names[0] == keys[0] else [*sums, *keys]).select([*keys, *sums])
+    def compact(gathered: list[pa.Table]) -> pa.Table:
+        total, key, names = pa.concat_tables(gathered), np.int64(0), {}
+        gathered.clear()  # nothing is held twice
+        total = total.unify_dictionaries()
+        for c in keys:
+            column = total.column(c).combine_chunks()
+            total = total.drop_columns(c)
+            if pa.types.is_dictionary(column.type):
+                names[c] = column.dictionary
+                key = key * len(column.dictionary) + column.indices.to_numpy()
+            else:
+                key = column.to_numpy()
+        order = np.argsort(key)
+        heads = np.flatnonzero(np.diff(key[order], prepend=~key[order[:1]]))
+        key, columns = key[order[heads]], {}
+        for c in sums:
+            column = total.column(c).to_numpy()
+            total = total.drop_columns(c)
+            columns[c] = pa.array(np.add.reduceat(column[order], heads))
+        for c in reversed(keys):
+            if c in names:
+                key, codes = np.divmod(key, len(names[c]))
+                columns[c] = pa.DictionaryArray.from_arrays(codes.astype(np.int32), names[c])
+            else:
+                columns[c] = pa.array(key)
+        return pa.table({c: columns[c] for c in [*keys, *sums]})
+
+    def passed_on(total: pa.Table) -> Iterator[pa.RecordBatch]:
+        for batch in total.to_batches(max_chunksize=50_000):
+            columns = [c.dictionary_decode() if pa.types.is_dictionary(c.type) else c for c in batch.columns]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     gathered, rows = [], 0
     for batch in batches:
-        gathered.append(batch)
+        if not batch.num_rows:
+            continue
+        gathered.append(pa.Table.from_batches([batch]))
         rows += batch.num_rows
         if rows > GATHERED:
             total = compact(gathered)
             gathered, rows = [total], total.num_rows
-            if rows > GATHERED // 2:
-                yield from total.to_batches(max_chunksize=50_000)
+            if rows > GATHERED * 3 // 4:
+                yield from passed_on(total)
                 gathered, rows = [], 0
+            del total
     if gathered:
-        yield from compact(gathered).to_batches(max_chunksize=50_000)
+        yield from passed_on(compact(gathered))
 
 
 def chunks(docs: DataFrame) -> DataFrame:
@@ -179,10 +219,8 @@ def _terms(parts: DataFrame, last: tuple[int, np.ndarray] | None) -> DataFrame:
                 both, which, docs = np.unique(source * len(c.terms) + term, return_inverse=True, return_counts=True)
                 total = np.bincount(which, n, len(both)).astype(np.int64)
                 source, term = np.divmod(both, len(c.terms))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(c.lang, len(both)).cast(pa.string()), c.terms.take(pa.array(term)), c.sources.take(pa.array(source)), pa.array(docs), pa.array(total)],
-                    names=["lang", "term", "source", "docs", "n"],
-                )
+                named = [_coded(np.zeros(len(both), np.int64), pa.array([c.lang], pa.string())), _coded(term, c.terms), _coded(source, c.sources)]
+                yield pa.RecordBatch.from_arrays([*named, pa.array(docs), pa.array(total)], names=["lang", "term", "source", "docs", "n"])
 
     schema = "lang string, term string, source string, docs long, n long"
     return parts.mapInArrow(lambda batches: _added_up(count(batches), ["lang", "term", "source"], ["docs", "n"]), schema)

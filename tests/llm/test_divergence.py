@@ -4,10 +4,14 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
+from millwright.llm import divergence
 from millwright.llm.divergence import source_divergence
 
+# Tells the most that Arrow held; it has to outlive what was made with it.
+POOL = pa.proxy_memory_pool(pa.default_memory_pool())
 SCHEMA = "doc_id long, text string, lang string, source string, key string, n long, `Item` string"
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -72,3 +76,28 @@ def test_ties_are_ranked_by_item(spark):
 def test_an_empty_table_gives_no_rows(spark):
     out = source_divergence(spark.createDataFrame([], SCHEMA))
     assert out.collect() == [] and out.columns == ["lang", "source", "part", "item", "value", "rank"]
+
+
+def test_rows_of_a_task_are_added_up_in_little_memory(spark):
+    r = random.Random(4)
+    words = ["".join(r.choice("abcdefgh") for _ in range(24)) for _ in range(4000)]
+    rows = [(k, " ".join(r.sample(words, 400)), "english, a long name", f"source of a long name {k % 20}", "", 1, "") for k in range(600)]
+    found = divergence.chunks(spark.createDataFrame(rows, SCHEMA).repartition(6)).toArrow().to_batches()
+
+    class Task:
+        def mapInArrow(self, run, schema):
+            return run(iter(found))
+
+    before = pa.default_memory_pool()
+    pa.set_memory_pool(POOL)
+    try:
+        counts = Counter()
+        for batch in divergence._terms(Task(), None):
+            lang, term, source, docs, n = (c.to_pylist() for c in batch.columns)
+            assert set(lang) == {rows[0][2]} and docs == n
+            counts.update(dict(zip(zip(term, source, strict=True), n, strict=True)))
+    finally:
+        pa.set_memory_pool(before)
+    assert counts == Counter((w, row[3]) for row in rows for w in row[1].split())
+    # Of about 200,000 rows Arrow held 15.9 MB while they were texts, and holds 6.4 MB of codes and counts.
+    assert POOL.max_memory() < 10_000_000
