@@ -79,14 +79,20 @@ def among(rows: DataFrame, at: Column, keys: DataFrame) -> DataFrame:
     """Rows whose 64-bit hash may be among ``keys(at)``, by a bitmap of 64 bits a key and at most :data:`MAX_MARKS`; nothing is shuffled."""
     size = min(MAX_MARKS, max(1 << 16, 1 << (64 * keys.count()).bit_length()))
 
-    def part(at: Column) -> Column:
-        return F.floor(F.pmod(at, F.lit(size)) / PART_BITS).cast("int")
+    at_bit = at.bitwiseAND(F.lit(size - 1))
+    key_bit = F.col("at").bitwiseAND(F.lit(size - 1))
 
-    bits = keys.groupBy(part(F.col("at")).alias("_part")).agg(F.bitmap_construct_agg(F.pmod("at", F.lit(PART_BITS))).alias("_bits"))
-    bit = F.pmod(at, F.lit(PART_BITS)).cast("int")
-    byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    met = rows.withColumn("_part", part(at)).join(F.broadcast(bits), "_part")
-    return met.where(byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), F.pmod(bit, F.lit(8)) + 1)) != 0).drop("_part", "_bits")
+    def part(bit: Column) -> Column:
+        return F.floor(bit / PART_BITS).cast("int")
+
+    bits = keys.groupBy(part(key_bit).alias("_part")).agg(F.bitmap_construct_agg(key_bit.bitwiseAND(F.lit(PART_BITS - 1))).alias("_bits"))
+    # Eight bytes at a time as a number, the first byte highest.
+    eight = F.transform(F.sequence(F.lit(0), F.lit(PART_BITS // 64 - 1)), lambda k: F.conv(F.hex(F.substring("_bits", k * 8 + 1, F.lit(8))), 16, -10).cast("long"))
+    bits = bits.select("_part", eight.alias("_bits"))
+    word = F.shiftright(at_bit.bitwiseAND(F.lit(PART_BITS - 1)), 6).cast("int")
+    place = at_bit.bitwiseAND(F.lit(63)).bitwiseXOR(F.lit(56)).cast("int")
+    met = rows.withColumn("_part", part(at_bit)).join(F.broadcast(bits), "_part")
+    return met.where(F.call_function("shiftright", F.get("_bits", word), place).bitwiseAND(F.lit(1)) == 1).drop("_part", "_bits")
 
 
 def tokens_of(sets: DataFrame, rows: DataFrame) -> DataFrame:
@@ -120,7 +126,9 @@ def passes(na: Column, nb: Column, pa_: Column, pb: Column) -> Column:
 
 
 def matching(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
-    """``(set)``: the later ones (b) of ``pairs(a, b)`` whose sets have the similarity."""
+    """``(set)``: the later ones (b) of ``pairs(a, b)`` whose sets have the similarity; only tokens of these sets are shuffled."""
+    pairs = staged(pairs, "line-pairs")
+    tokens = among(tokens, F.col("set"), pairs.select(F.explode(F.array("a", "b")).alias("at")))
     left, right = tokens.alias("left"), tokens.alias("right")
     both = pairs.join(left, F.col("a") == F.col("left.set")).select("a", "b", F.col("left.tokens").alias("ta"))
     both = both.join(right, F.col("b") == F.col("right.set")).select("b", "ta", F.col("right.tokens").alias("tb"))
@@ -163,7 +171,9 @@ def shards(sets: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def reordered(sets: DataFrame, hot: DataFrame, tokens: DataFrame) -> DataFrame:
     """The entries ``(token, set, pos)`` of the sets in ``hot``, by the order that has frequent tokens last."""
-    every = staged(tokens.join(hot, "set", "left_semi").dropDuplicates(["set"]), "line-hot")
+    # Sets in `hot` are distinct. A semi join would be pushed below the bitmap, and all tokens shuffled.
+    every = among(tokens, F.col("set"), hot.select(F.col("set").alias("at"))).join(hot, "set")
+    every = staged(every.dropDuplicates(["set"]), "line-hot")
     every = every.select("set", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     listed = staged(every.groupBy("token").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") >= FREQUENT), "frequent")
     taken = prefix_entries(sets).join(listed, "token", "left_semi").join(hot, "set", "left_anti")
@@ -251,7 +261,7 @@ def near_copies(sets: DataFrame, rows: DataFrame) -> DataFrame:
     if alone.isEmpty():
         return done
     settled = left.select("set").distinct().join(alone, "set", "left_anti")
-    rest = staged(candidates(left, settled).select("a", "b").distinct(), "line-pairs")
+    rest = candidates(left, settled).select("a", "b").distinct()
     return done.unionAll(matching(rest, tokens))
 
 
@@ -296,7 +306,8 @@ def lines_to_remove(docs: DataFrame) -> tuple[DataFrame, str, str]:
 
 def line_report(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_lines, n_removed, removed_lines)`` per row; line numbers count from 0."""
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long")
+    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(breaks + 1).cast("long")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), n_lines.alias("n_lines"), row_key().alias("row"))
     gone = F.coalesce("lines", F.array().cast("array<int>"))
     return rows.join(removed_lines(docs), "row", "left").select("doc_id", "n_lines", F.size(gone).cast("long").alias("n_removed"), gone.alias("removed_lines"))

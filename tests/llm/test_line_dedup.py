@@ -5,6 +5,7 @@ import re
 
 import pytest
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from millwright.llm import line_dedup, shared
 
@@ -105,3 +106,48 @@ def test_sketches_never_tell_too_much(spark):
     assert all(d <= len(sets[a] ^ sets[b]) for (a, b), d in got.items())
     assert all(got[k, k + 6] >= k - 2 for k in range(6))
     assert min(d for (a, b), d in got.items() if a < b < 6) > 40
+
+
+def test_only_tokens_of_the_pairs_are_shuffled(spark):
+    r = random.Random(3)
+    rows = [(k, sorted(r.randrange(-(2**63), 2**63) for _ in range(5))) for k in range(50_000)]
+    rows[7] = (7, rows[8][1])
+    tokens = shared.staged(spark.createDataFrame(rows, "set long, tokens array<long>"), "line-test")
+    pairs = spark.createDataFrame([(k, k + 1) for k in range(0, 200, 7)], "a long, b long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # tables of this size would not be shuffled at all
+    try:
+        out = line_dedup.matching(pairs, tokens)
+        assert [x["set"] for x in out.collect()] == [8]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    plan, seen = out._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if node.nodeName() == "Exchange":
+            written = node.metrics().get("shuffleRecordsWritten")
+            seen.append(written.get().value() if written.isDefined() else 0)
+        for inner in ([node.plan()] if node.nodeName().endswith("QueryStage") else []) + [node.children().apply(i) for i in range(node.children().size())]:
+            walk(inner)
+
+    walk(plan)
+    assert seen and max(seen) < 5000
+
+
+def test_bitmaps_pass_all_keys_and_few_others(spark):
+    r = random.Random(8)
+    keys = [r.randrange(-(2**63), 2**63) for _ in range(3000)] + [0, -1, 63, 64, 2**63 - 1, -(2**63)]
+    others = [r.randrange(-(2**63), 2**63) for _ in range(3000)]
+    rows = spark.createDataFrame([(k,) for k in keys + others], "token long")
+    got = {x["token"] for x in line_dedup.among(rows, F.col("token"), spark.createDataFrame([(k,) for k in keys], "at long")).collect()}
+    assert set(keys) <= got and len(got) < len(keys) + 150
+    none = spark.createDataFrame([], "at long")
+    assert line_dedup.among(rows, F.col("token"), none).collect() == []
+
+
+@pytest.mark.parametrize("text", [None, "", "\n", "a", "a\n", "\na\n\nb", "é\r\n語\n"])
+def test_lines_are_counted_as_they_are_split(spark, text):
+    row = line_dedup.line_report(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row["n_lines"] == (0 if text is None else text.count("\n") + 1)
